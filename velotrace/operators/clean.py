@@ -54,12 +54,14 @@ def add_trip_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def add_time_diff(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def add_time_diff(
+    df: DataFrame, settings: Settings = Settings(), sizes: DataFrame | None = None
+) -> DataFrame:
     """Seconds since the device's previous row; 0 for its first row and where unknown."""
     if "timestamp" not in df.columns:
         return df
     series = scan(
-        ordered(df, [DEVICE], TIME_ORDER, settings),
+        ordered(df, [DEVICE], TIME_ORDER, settings, sizes),
         _prev=previous(F.struct(F.col("timestamp").alias("ts"))),
     )
     known = F.when(F.col(DEVICE).isNotNull(), F.col("timestamp") - F.col("_prev.ts"))

@@ -61,15 +61,28 @@ class Series:
         return self.rows.drop(CHUNK, TIE, ROW)
 
 
+def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key, as a table that several steps on the same rows can share."""
+    return written(df.groupBy(*keys).count(), "key-sizes")
+
+
 def ordered(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], settings: Settings = Settings()
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    settings: Settings = Settings(),
+    sizes: DataFrame | None = None,
 ) -> Series:
-    """Rows of each key in the given order, nulls last, ties broken by row content."""
+    """Rows of each key in the given order, nulls last, ties broken by row content.
+
+    The rows are counted per key unless ``sizes`` (from ``key_sizes``) already tells.
+    """
     keys = tuple(keys)
     columns = tuple(c for c in order if c in df.columns) + (TIE,)
     rows = df.withColumn(TIE, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
 
-    sizes = rows.groupBy(*keys).count() if keys else rows.agg(F.count("*").alias("count"))
+    if sizes is None:
+        sizes = rows.groupBy(*keys).count() if keys else rows.agg(F.count("*").alias("count"))
     hot = sizes.filter(F.col("count") > settings.group_rows)
     found = hot.agg(F.count("*").alias("keys"), F.sum("count").alias("rows")).first()
     if not found["keys"]:

@@ -26,6 +26,7 @@ def trip_metrics(
     lon: str = "snapped_lon",
     first_fix_rule: str = "reference",
     road_distances: DataFrame | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``time_s``, ``trip_break``, ``distance_m``, ``trip_id`` and recompute the speed.
 
@@ -36,8 +37,9 @@ def trip_metrics(
     replaces the great-circle distance where it has the pair.
     """
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    bare = df.drop("time_s", "trip_break", "distance_m", "trip_id")
     series = scan(
-        ordered(df.drop("time_s", "trip_break", "distance_m", "trip_id"), [DEVICE], TIME_ORDER, settings),
+        ordered(bare, [DEVICE], TIME_ORDER, settings, sizes),
         _prev=previous(
             F.struct(
                 F.col("timestamp").alias("ts"), F.col(lat).alias("lat"), F.col(lon).alias("lon")
