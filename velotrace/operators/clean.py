@@ -1,4 +1,8 @@
-"""Row cleaning before road matching."""
+"""Row cleaning before road matching.
+
+``within`` names columns, such as region and date, whose slices are handled apart from each other
+in one job.
+"""
 
 from __future__ import annotations
 
@@ -55,13 +59,16 @@ def add_trip_columns(df: DataFrame) -> DataFrame:
 
 
 def add_time_diff(
-    df: DataFrame, settings: Settings = Settings(), sizes: DataFrame | None = None
+    df: DataFrame,
+    settings: Settings = Settings(),
+    within: Sequence[str] = (),
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Seconds since the device's previous row; 0 for its first row and where unknown."""
     if "timestamp" not in df.columns:
         return df
     series = scan(
-        ordered(df, [DEVICE], TIME_ORDER, settings, sizes),
+        ordered(df, [*within, DEVICE], TIME_ORDER, settings, sizes),
         _prev=previous(F.struct(F.col("timestamp").alias("ts"))),
     )
     known = F.when(F.col(DEVICE).isNotNull(), F.col("timestamp") - F.col("_prev.ts"))
@@ -72,12 +79,14 @@ def add_time_diff(
     )
 
 
-def blank_repeats(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def blank_repeats(
+    df: DataFrame, settings: Settings = Settings(), within: Sequence[str] = ()
+) -> DataFrame:
     """Keep a pair of coordinates on its first row in row order and null it on all others.
 
     The rule spans devices: a place seen by two of them stays on the first only.
     """
-    series = scan(ordered(df, [LAT, LON], ROW_ORDER, settings), _nth=row_count())
+    series = scan(ordered(df, [*within, LAT, LON], ROW_ORDER, settings), _nth=row_count())
     first = F.col("_nth") == 1
     return (
         series.done()
@@ -86,6 +95,8 @@ def blank_repeats(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     )
 
 
-def preprocess(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def preprocess(
+    df: DataFrame, settings: Settings = Settings(), within: Sequence[str] = ()
+) -> DataFrame:
     """Filter, coerce, and add the columns that later steps fill."""
-    return add_time_diff(add_trip_columns(coerce_numeric(without_serial(df))), settings)
+    return add_time_diff(add_trip_columns(coerce_numeric(without_serial(df))), settings, within)

@@ -132,19 +132,19 @@ def attach(
     return lookup(df, stats, by, settings, how="inner")
 
 
-def dominates(axis: str, factor: float) -> Column:
+def dominates(axis: str, factor: float | Column) -> Column:
     """The axis's peak exceeds ``factor`` times each other peak; unknown peaks count as false."""
     others = [a for a in AXES if a != axis]
     return reduce(
         lambda x, y: x & y,
         [
-            F.coalesce(F.col(f"peak_{axis}") > factor * F.col(f"peak_{a}"), F.lit(False))
+            F.coalesce(F.col(f"peak_{axis}") > F.col(f"peak_{a}") * factor, F.lit(False))
             for a in others
         ],
     )
 
 
-def is_far(value: Column, median: Column, mad: Column, limit: float) -> Column:
+def is_far(value: Column, median: Column, mad: Column, limit: float | Column) -> Column:
     """More than ``limit`` MADs from the median; never if the MAD is zero."""
     return F.when(mad > 0, F.abs(value - median) / mad > limit).otherwise(False)
 
@@ -169,23 +169,42 @@ def severity_label(event_type: Column, score: Column) -> Column:
     return label
 
 
-def axis_hit(axis: str, settings: Settings) -> Column:
+def axis_hit(
+    axis: str, dominance: float | Column, mad_limit: float | Column, min_rows: int
+) -> Column:
     """The event rule of one axis, on rows that carry their statistics."""
     peak = F.col(f"peak_{axis}")
     return (
         F.coalesce(peak > F.col(f"threshold_{axis}"), F.lit(False))
-        & dominates(axis, settings.dominance)
-        & is_far(peak, F.col(f"median_{axis}"), F.col(f"mad_{axis}"), settings.mad_limit)
-        & (F.col("n") >= settings.min_active_rows)
+        & dominates(axis, dominance)
+        & is_far(peak, F.col(f"median_{axis}"), F.col(f"mad_{axis}"), mad_limit)
+        & (F.col("n") >= min_rows)
     )
 
 
-def explode_hits(rows: DataFrame, settings: Settings) -> DataFrame:
-    """One row per event, with ``event_type``, ``severity`` and ``peak_value`` added."""
+def explode_hits(
+    rows: DataFrame,
+    settings: Settings = Settings(),
+    dominance: Column | None = None,
+    mad_limit: Column | None = None,
+) -> DataFrame:
+    """One row per event, with ``event_type``, ``severity`` and ``peak_value`` added.
+
+    The two parameters may be given as columns instead of settings.
+    """
+    rules = {
+        a: axis_hit(
+            a,
+            settings.dominance if dominance is None else dominance,
+            settings.mad_limit if mad_limit is None else mad_limit,
+            settings.min_active_rows,
+        )
+        for a in AXES
+    }
     hits = F.array(
         *[
             F.when(
-                axis_hit(a, settings),
+                rules[a],
                 F.struct(
                     F.lit(AXIS_EVENTS[a]).alias("event_type"),
                     severity(
@@ -197,9 +216,8 @@ def explode_hits(rows: DataFrame, settings: Settings) -> DataFrame:
             for a in AXES
         ]
     )
-    any_hit = reduce(lambda a, b: a | b, [axis_hit(a, settings) for a in AXES])
     return (
-        rows.filter(any_hit)
+        rows.filter(reduce(lambda a, b: a | b, rules.values()))
         .withColumn("_hit", F.explode(F.filter(hits, lambda h: h.isNotNull())))
         .select("*", "_hit.*")
         .drop("_hit")

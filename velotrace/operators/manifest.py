@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velotrace.functions.dates import day_of_path, parse_day
+from velotrace.operators.joins import fits
+from velotrace.session import written
+from velotrace.settings import Settings
 
 
 def manifest(listing: DataFrame, stage: str) -> DataFrame:
@@ -44,10 +47,13 @@ def latest_days(slices: DataFrame, days: int = 5) -> DataFrame:
     return slices.select("date").distinct().orderBy(F.col("date").desc()).limit(days)
 
 
-def pending_rows(df: DataFrame, done: DataFrame) -> DataFrame:
+def pending_rows(
+    df: DataFrame, done: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
     """Rows of slices that are not done yet."""
-    # One row per finished region and day.
-    finished = F.broadcast(done.select("region", "date").distinct())
+    finished = written(done.select("region", "date").distinct(), "finished-slices")
+    if fits(finished, settings.broadcast_rows):
+        finished = F.broadcast(finished)
     return df.join(finished, ["region", "date"], "left_anti")
 
 

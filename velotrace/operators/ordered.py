@@ -207,6 +207,16 @@ def series_size() -> Scan:
     )
 
 
+def series_total(value: Column) -> Scan:
+    """Sum over the whole series."""
+    return Scan(
+        local=lambda s: F.sum(value).over(Window.partitionBy(*s.parts)),
+        summary=lambda s: F.sum(value),
+        carry=lambda v, s: F.sum(v).over(Window.partitionBy(*s.keys)),
+        combine=lambda a, b: F.coalesce(b, a),
+    )
+
+
 def scan(series: Series, **scans: Scan) -> Series:
     """Add one column per window function."""
     local = {f"_l_{n}": s.local(series) for n, s in scans.items()}

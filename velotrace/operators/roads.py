@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -236,6 +238,7 @@ def interpolate_gaps(
     settings: Settings = Settings(),
     routes: DataFrame | None = None,
     roads: PlaceIndex | None = None,
+    within: Sequence[str] = (),
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Place unknown rows on the route between the known points around them, by progress.
@@ -246,7 +249,7 @@ def interpolate_gaps(
     Without any ``routes`` a straight line of ``line_points`` vertices is used, evenly spaced by
     distance, and without ``roads`` vertices are taken as they are. Gaps do not span devices.
     """
-    series = ordered(df, [DEVICE], TIME_ORDER, settings, sizes)
+    series = ordered(df, [*within, DEVICE], TIME_ORDER, settings, sizes)
     rows = gap_progress(gap_bounds(series)).done()
     if routes is None:
         last = settings.line_points - 1
@@ -326,6 +329,7 @@ def fill_missing(
     df: DataFrame,
     settings: Settings = Settings(),
     routes: DataFrame | None = None,
+    within: Sequence[str] = (),
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Spread the vertices of the route over rows that are still unknown between known ones.
@@ -333,7 +337,7 @@ def fill_missing(
     Rows before a device's first known row or after its last stay unknown, as do rows of a gap
     without a route.
     """
-    rows = gap_bounds(ordered(df, [DEVICE], TIME_ORDER, settings, sizes)).done()
+    rows = gap_bounds(ordered(df, [*within, DEVICE], TIME_ORDER, settings, sizes)).done()
     k = F.col("_at") - F.col("_from._at") - 1
     missing = F.col("_to._at") - F.col("_from._at") - 1
     if routes is None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ def trip_metrics(
     lon: str = "snapped_lon",
     first_fix_rule: str = "reference",
     road_distances: DataFrame | None = None,
+    within: Sequence[str] = (),
     sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``time_s``, ``trip_break``, ``distance_m``, ``trip_id`` and recompute the speed.
@@ -39,7 +42,7 @@ def trip_metrics(
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     bare = df.drop("time_s", "trip_break", "distance_m", "trip_id")
     series = scan(
-        ordered(bare, [DEVICE], TIME_ORDER, settings, sizes),
+        ordered(bare, [*within, DEVICE], TIME_ORDER, settings, sizes),
         _prev=previous(
             F.struct(
                 F.col("timestamp").alias("ts"), F.col(lat).alias("lat"), F.col(lon).alias("lon")
@@ -108,7 +111,7 @@ def trip_metrics(
                 )
                 .otherwise(0.0),
             ),
-            "trip_id": F.when(has_device, F.concat_ws("-", DEVICE, "_trip")),
+            "trip_id": F.when(has_device, F.concat_ws("-", *within, DEVICE, "_trip")),
         }
     )
     if "position_speed" in df.columns:
