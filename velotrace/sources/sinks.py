@@ -26,7 +26,7 @@ def write_slices(
         df.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
+        .options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .partitionBy(*by)
         .format(kind)
         .save(root)

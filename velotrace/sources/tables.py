@@ -43,12 +43,14 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], by_position: bool
     its own and unites them by name, with null for columns that a path lacks.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    tables = [
-        typed(
-            spark.read.options(header=True, pathGlobFilter="*.csv", recursiveFileLookup=True).csv(p)
-        )
-        for p in paths
-    ]
+    reader = spark.read.options(
+        header=True,
+        pathGlobFilter="*.csv",
+        recursiveFileLookup=True,
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+    tables = [typed(reader.csv(p)) for p in paths]
     if by_position:
         return union_by_position(tables)
     result = tables[0]
