@@ -358,8 +358,8 @@ def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 
 @query(
     "pothole_clusters",
-    with_events("""SELECT a.original_index, count(*) AS frequency, round(avg(b.latitude), 6) AS center_lat,
-      round(avg(b.longitude), 6) AS center_lon, round(avg(b.severity), 6) AS mean_severity,
+    with_events("""SELECT a.original_index, count(*) AS frequency, round(avg(b.latitude), 9) AS center_lat,
+      round(avg(b.longitude), 9) AS center_lon, round(avg(b.severity), 9) AS mean_severity,
       CASE WHEN avg(b.severity) > 7 THEN 'HIGH' ELSE 'NORMAL' END AS repair_priority
       FROM ev a JOIN ev b ON a.event_type = 'pothole' AND b.event_type = 'pothole'
         AND abs(a.latitude - b.latitude) < 0.001 AND """
@@ -371,7 +371,7 @@ def pothole_clusters(spark, d):
     return found.select(
         "original_index",
         "frequency",
-        *[F.round(c, 6).alias(c) for c in ("center_lat", "center_lon", "mean_severity")],
+        *[F.round(c, 9).alias(c) for c in ("center_lat", "center_lon", "mean_severity")],
         "repair_priority",
     )
 
