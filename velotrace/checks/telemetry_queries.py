@@ -614,8 +614,8 @@ PUBLISHED = trips_sql(86400, f"""SELECT device_id, device_name, device_serial_nu
 @query("final_projection", PUBLISHED)
 def final_projection(spark, d):
     rows = regions.region_rows(trips.trip_metrics(located(spark, d), DAY_GAP))
-    by_region = {r: rows.filter(F.col("region") == r).drop("region") for r in REGION_PREFIXES}
-    return publish.publish(by_region).withColumns(
+    trips_table = publish.publish(rows.withColumnRenamed("region", "source_region"))
+    return trips_table.withColumns(
         {c: F.round(c, 4) for c in ("position_speed", "distance_m")}
     )
 

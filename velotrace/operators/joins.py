@@ -34,17 +34,17 @@ def lookup(
     keys: Sequence[str],
     settings: Settings = Settings(),
     how: str = "left",
-    table_rows: int | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``table``, which has one row per key; null keys match null keys.
 
     A table of at most ``broadcast_rows`` rows is broadcast. For a larger one, the rows of each
     hot key, null included, are spread over several tasks, and its single table row is repeated
-    for them. The table is counted first, so one that is costly to compute should be written.
+    for them. The table is counted first, so one that is costly to compute should be written;
+    ``small`` tells the answer where it is known.
     """
     keys = list(keys)
-    limit = settings.broadcast_rows if table_rows is None else table_rows
-    if fits(table, limit):
+    if fits(table, settings.broadcast_rows) if small is None else small:
         return joined(rows, F.broadcast(table), keys, how)
 
     hot = (

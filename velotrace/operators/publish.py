@@ -47,8 +47,9 @@ def final_columns(df: DataFrame) -> DataFrame:
     return kept.select(*[F.col(f"`{c}`") for c in first + extra_columns(kept)])
 
 
-def publish(regions: Mapping[str, DataFrame]) -> DataFrame:
-    return final_columns(sort_rows(union_regions(regions)))
+def publish(rows: DataFrame) -> DataFrame:
+    """The daily trips table of united regions: final columns, in row order."""
+    return final_columns(sort_rows(rows))
 
 
 def daily_summary(trips: DataFrame) -> DataFrame:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,14 +24,18 @@ def region_of(
     no row moves, however many rows one device has.
     """
     trimmed = F.btrim(name, F.lit(_BLANKS))
-    upper = F.upper(trimmed)
-    region = None
+    owner = {}
     for candidate, starts in prefixes.items():
-        if not starts:
-            continue
-        fits = reduce(lambda a, b: a | b, [upper.startswith(p.upper()) for p in starts])
-        region = (F if region is None else region).when(fits, F.lit(candidate))
-    region = F.lit(None).cast("string") if region is None else region
+        for prefix in starts:
+            owner.setdefault(prefix.upper(), candidate)
+    if owner:
+        # Alternatives are tried in order, so the first prefix that fits is the one found.
+        pattern = "^(" + "|".join(f"\\Q{p}\\E" for p in owner) + ")"
+        found = F.regexp_extract(F.upper(trimmed), pattern, 1)
+        table = F.create_map(*[F.lit(x) for pair in owner.items() for x in pair])
+        region = F.try_element_at(table, found)
+    else:
+        region = F.lit(None).cast("string")
     if exact:
         named = F.lit(None).cast("string")
         for candidate, names in reversed(exact.items()):

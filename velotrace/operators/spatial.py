@@ -17,7 +17,7 @@ from math import degrees, pi, sin
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velotrace.functions.geo import EARTH_RADIUS_M, arc, chord, haversine
+from velotrace.functions.geo import EARTH_RADIUS_M, arc, chord
 from velotrace.operators.joins import lookup
 from velotrace.session import written
 from velotrace.settings import Settings
@@ -57,38 +57,21 @@ class Grid:
         column = F.floor((lon + 180) / 360 * (count * fine)).cast("long")
         return row, F.least(column, count * fine - 1)
 
-    def around(self, lat: Column, lon: Column) -> Column:
-        """Top-level cells that can hold places within the radius.
-
-        An array of (row, column, turn); ``turn`` is added to the query's longitude where the
-        cell lies beyond the antimeridian.
-        """
-        row = F.shiftright(self.leaf(lat, lon)[0], SPLIT_BITS * (LEVELS - 1))
+    def spread(self, lat: Column) -> Column:
+        """Degrees of longitude that the radius can span."""
         reach = F.lit(sin(self.radius_m / EARTH_RADIUS_M)) / F.cos(F.radians(lat))
-        wide = F.when(
+        return F.when(
             reach < 1, F.degrees(F.asin(F.least(reach, F.lit(1.0)))) * (1 + SLACK) + SLACK
         ).otherwise(180.0)
 
-        def cells(r: Column) -> Column:
-            count = self.columns(r)
-            first = F.floor((lon - wide + 180) / 360 * count)
-            last = F.floor((lon + wide + 180) / 360 * count)
-            return F.transform(
-                F.sequence(first, F.least(last, first + count - 1)),
-                lambda c: F.struct(
-                    r.alias("row"),
-                    F.pmod(c, count).alias("column"),
-                    (F.floor(c / count) * -360.0).alias("turn"),
-                ),
-            )
-
-        return F.flatten(F.transform(F.sequence(row - 1, row + 1), cells))
-
 
 @dataclass(frozen=True)
 class PlaceIndex:
+    """Cell tables by level, and how many places and sub-cells each table lists in all."""
+
     grid: Grid
     levels: tuple[DataFrame, ...]
+    entries: tuple[int, ...]
     settings: Settings
 
 
@@ -106,9 +89,10 @@ def index_places(
     )
     sums = ["rows", *totals]
     row, column = grid.leaf(F.col("lat"), F.col("lon"))
-    current = written(merged.withColumns({"_row": row, "_column": column}), "places")
+    merged = merged.withColumns({"_row": row, "_column": column, "cos": F.cos(F.radians("lat"))})
+    current = written(merged, "places")
 
-    levels = []
+    levels, entries = [], []
     for level in range(LEVELS):
         last = level == LEVELS - 1
         here = _cell(level)
@@ -125,7 +109,7 @@ def index_places(
             dense = dense.filter(F.col("_full"))
         else:
             sparse, dense = current.select("*", *here), None
-        place = F.struct("lat", "lon", *sums)
+        place = F.struct("lat", "lon", "cos", *sums)
         cells = sparse.groupBy("row", "column").agg(F.collect_list(place).alias("places"))
         if dense is not None:
             children = dense.groupBy("row", "column", *_cell(level + 1, "sub_")).agg(
@@ -142,11 +126,15 @@ def index_places(
             ).unionByName(
                 branches.withColumn("places", F.lit(None).cast(cells.schema["places"].dataType)),
             )
-        levels.append(written(cells, "cells"))
+        cells = written(cells, "cells")
+        levels.append(cells)
+        listed = [F.coalesce(F.size(c), F.lit(0)) for c in ("places", "children") if c in cells.columns]
+        total = cells.agg(F.sum(reduce(lambda a, b: a + F.greatest(b, F.lit(0)), listed, F.lit(0))))
+        entries.append(total.first()[0] or 0)
         if dense is None:
             break
         current = written(dense.drop("row", "column", "_full"), "places")
-    return PlaceIndex(grid, tuple(levels), settings)
+    return PlaceIndex(grid, tuple(levels), tuple(entries), settings)
 
 
 def _cell(level: int, prefix: str = "") -> list[Column]:
@@ -178,18 +166,80 @@ def _bounds(lat: Column, lon: Column, box: Column) -> tuple[Column, Column]:
 
 
 def _start(queries: DataFrame, grid: Grid) -> DataFrame:
+    """Queries with each top-level cell that can hold places within the radius.
+
+    ``_lon`` is the query's longitude, turned once around where the cell lies beyond the
+    antimeridian. The box of ``_south`` to ``_east`` contains the circle.
+
+    Each query turns into many distance computations, so queries are spread over all cores even
+    where they are few bytes; results are grouped by query later, on the same partitioning.
+    """
+    spark = queries.sparkSession
+    tasks = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    lat, lon = F.col("lat"), F.col("lon")
+    count, turns = F.col("_count"), F.floor(F.col("_c") / F.col("_count"))
     return (
-        queries.select("lat", "lon")
-        .withColumn("_c", F.explode(grid.around(F.col("lat"), F.col("lon"))))
-        .select("lat", "lon", F.col("_c.row").alias("row"), F.col("_c.column").alias("column"),
-                (F.col("lon") + F.col("_c.turn")).alias("_lon"))
+        queries.repartition(tasks, "lat", "lon").select("lat", "lon", F.cos(F.radians(lat)).alias("_cos"), grid.spread(lat).alias("_wide"))
+        .withColumn("_top", F.shiftright(grid.leaf(lat, lon)[0], SPLIT_BITS * (LEVELS - 1)))
+        .withColumn("row", F.explode(F.sequence(F.col("_top") - 1, F.col("_top") + 1)))
+        .withColumn("_count", grid.columns(F.col("row")))
+        .withColumn("_first", F.floor((lon - F.col("_wide") + 180) / 360 * count))
+        .withColumn("_last", F.floor((lon + F.col("_wide") + 180) / 360 * count))
+        .withColumn(
+            "_c",
+            F.explode(
+                F.sequence("_first", F.least(F.col("_last"), F.col("_first") + count - 1))
+            ),
+        )
+        .select(
+            "lat",
+            "lon",
+            "row",
+            F.pmod("_c", count).alias("column"),
+            (lon - turns * 360.0).alias("_lon"),
+            "_cos",
+            (lat - grid.height_deg).alias("_south"),
+            (lat + grid.height_deg).alias("_north"),
+            (lon - turns * 360.0 - F.col("_wide")).alias("_west"),
+            (lon - turns * 360.0 + F.col("_wide")).alias("_east"),
+        )
     )
 
 
-def _meet(frontier: DataFrame, cells: DataFrame, settings: Settings) -> DataFrame:
+_QUERY = ["lat", "lon", "_lon", "_cos", "_south", "_north", "_west", "_east"]
+
+
+def _meet(frontier: DataFrame, index: PlaceIndex, level: int) -> DataFrame:
     """Query rows with the cell they look into."""
-    few = max(1, settings.broadcast_rows // settings.cell_points)
-    return lookup(frontier, cells, ["row", "column"], settings, "inner", table_rows=few)
+    settings = index.settings
+    return lookup(
+        frontier,
+        index.levels[level],
+        ["row", "column"],
+        settings,
+        "inner",
+        small=index.entries[level] <= settings.broadcast_rows,
+    )
+
+
+def _boxed() -> Column:
+    """The cell's places in the query's box; a box of half a turn or more takes all."""
+    return F.filter(
+        "places",
+        lambda p: (p["lat"] >= F.col("_south"))
+        & (p["lat"] <= F.col("_north"))
+        & (
+            ((p["lon"] >= F.col("_west")) & (p["lon"] <= F.col("_east")))
+            | (F.col("_east") - F.col("_west") >= 180)
+        ),
+    )
+
+
+def _metres(p: Column) -> Column:
+    """Distance from the query to a place, whose cosines are at hand."""
+    return arc(chord(p["lat"] - F.col("lat"), p["lon"] - F.col("_lon"), F.col("_cos"), p["cos"]))
 
 
 def nearest(queries: DataFrame, index: PlaceIndex) -> DataFrame:
@@ -203,7 +253,7 @@ def nearest(queries: DataFrame, index: PlaceIndex) -> DataFrame:
 
     def candidate(p: Column) -> Column:
         return F.struct(
-            haversine(*point, p["lat"], p["lon"]).alias("m"),
+            _metres(p).alias("m"),
             p["lat"].alias("lat"),
             p["lon"].alias("lon"),
         )
@@ -215,14 +265,14 @@ def nearest(queries: DataFrame, index: PlaceIndex) -> DataFrame:
             far.alias("far"),
             child["sub_row"].alias("row"),
             child["sub_column"].alias("column"),
-            F.col("_lon").alias("_lon"),
+            *[F.col(c).alias(c) for c in _QUERY[2:]],
         )
 
     frontier = _start(queries, index.grid)
     results = []
     for level, cells in enumerate(index.levels):
-        met = _meet(frontier, cells, index.settings)
-        best = F.array_min(F.transform("places", candidate))
+        met = _meet(frontier, index, level)
+        best = F.array_min(F.transform(_boxed(), candidate))
         deeper = "children" in cells.columns
         found = [F.min("_best").alias("_best")]
         if level:
@@ -256,7 +306,7 @@ def nearest(queries: DataFrame, index: PlaceIndex) -> DataFrame:
         frontier = (
             state.filter(F.size("_next") > 0)
             .select("lat", "lon", F.col("_best").alias("_so_far"), F.explode("_next").alias("_c"))
-            .select("lat", "lon", "_so_far", "_c.row", "_c.column", "_c._lon")
+            .select("lat", "lon", "_so_far", "_c.row", "_c.column", *[f"_c.{c}" for c in _QUERY[2:]])
         )
     return (
         reduce(DataFrame.unionByName, results)
@@ -281,11 +331,9 @@ def totals_within(queries: DataFrame, index: PlaceIndex, totals: Sequence[str])
     point = F.col("lat"), F.col("_lon")
     frontier = _start(queries, index.grid)
     parts = []
-    for cells in index.levels:
-        met = _meet(frontier, cells, index.settings)
-        inside = F.filter(
-            "places", lambda p: haversine(*point, p["lat"], p["lon"]) <= radius
-        )
+    for level, cells in enumerate(index.levels):
+        met = _meet(frontier, index, level)
+        inside = F.filter(_boxed(), lambda p: _metres(p) <= radius)
         takes = [inside]
         deeper = "children" in cells.columns
         if deeper:
@@ -331,9 +379,7 @@ def totals_within(queries: DataFrame, index: PlaceIndex, totals: Sequence[str])
                     F.filter("_seen", lambda s: (s["near"] <= radius) & (s["far"] > radius))
                 ),
             ).select(
-                "lat",
-                "lon",
-                "_lon",
+                *_QUERY,
                 F.col("_open.c.sub_row").alias("row"),
                 F.col("_open.c.sub_column").alias("column"),
             ),

@@ -84,8 +84,7 @@ def enrich_slices(
 def publish_day(spark: SparkSession, enriched: str, day: date) -> DataFrame:
     """The daily trips table: all regions, final columns, in row order."""
     rows = tables.read_slices(spark, enriched, day=day).drop("date")
-    rows = clean.sort_rows(rows.withColumnRenamed("region", "source_region"))
-    return publish.final_columns(rows)
+    return publish.publish(rows.withColumnRenamed("region", "source_region"))
 
 
 def detect_day(daily_trips: DataFrame, settings: Settings = Settings()) -> DataFrame:
