@@ -236,7 +236,7 @@ def sequential(rows, lats):
 @pytest.mark.parametrize("group_rows", [10**6, 5])
 def test_gaps_against_the_sequential_rule(frame, group_rows):
     r = np.random.default_rng(5)
-    lats = sorted({51.0, 51.1, *[round(51 + x, 5) for x in r.uniform(0, 0.1, 9)]})
+    lats = sorted({51.0, 51.1, *[round(51 + float(x), 5) for x in r.uniform(0, 0.1, 9)]})
     rows = [known(0, 51.0)]
     for t in range(1, 40):
         speed = None if r.random() < 0.2 else float(r.uniform(0, 4000))
@@ -280,7 +280,7 @@ def accel_rows(frame, peaks, **columns):
 
 
 def spread_peaks(n):
-    return [(float(i + 1), 0.1 * (i % 3), 0.2) for i in range(n)]
+    return [((i + 1) ** 3 / 1e4, 0.1 * (i % 3) / 1e3, 0.2 / 1e4) for i in range(n)]
 
 
 def test_ten_active_rows_are_needed(frame):
@@ -307,7 +307,7 @@ def test_missing_channels_and_missing_peaks(frame):
     df = accel_rows(frame, spread_peaks(40)).drop("avg_x")
     empty = events.abnormal_events(df)
     assert empty.columns[:2] == ["event_type", "severity"] and empty.count() == 0
-    holes = accel_rows(frame, spread_peaks(40) + [(None, 1.0, 0.1)])
+    holes = accel_rows(frame, spread_peaks(40) + [(None, 1e-4, 1e-5)])
     assert events.abnormal_events(holes).count() > 0
     assert events.abnormal_events(holes, null_policy="reference").filter("event_type = 'hard_brake'").count() == 0
 
@@ -361,6 +361,11 @@ def test_quality_of_a_poor_table(frame):
     assert (row.extreme_x, row.late_rows) == (1, 1)
 
 
+def test_haversine_of_unknown_points_is_unknown(frame):
+    df = frame("lat double", (None,))
+    assert df.select(haversine(F.col("lat"), F.lit(0.0), F.lit(0.0), F.lit(0.0))).first()[0] is None
+
+
 def test_haversine_of_opposite_points(frame):
     m = frame("a int", (1,)).select(haversine(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(180.0))).first()[0]
     assert m == pytest.approx(np.pi * 6371000)

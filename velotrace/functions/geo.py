@@ -17,9 +17,13 @@ def chord(dlat: Column, dlon: Column, lat1_cos: Column, lat2_cos: Column) -> Col
     )
 
 
-def arc(term: Column) -> Column:
-    """Metres for a haversine term."""
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(F.lit(1.0), term)))
+def arc(term: Column, known: bool = False) -> Column:
+    """Metres for a haversine term, null for a null term.
+
+    With ``known`` the term is taken to be non-null and evaluated once.
+    """
+    capped = F.least(F.lit(1.0), term) if known else F.when(term > 1, 1.0).otherwise(term)
+    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(capped))
 
 
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -197,6 +197,15 @@ def row_count() -> Scan:
     return running_sum(F.lit(1).cast("long"))
 
 
+def numbered(series: Series, name: str) -> Series:
+    """Add each row's position, from 1, and order the series by it from here on.
+
+    Exact copies of a row may come in any order. Once numbered, their order is the same for
+    every later function, in either direction.
+    """
+    return replace(scan(series, **{name: row_count()}), order=(name,))
+
+
 def series_size() -> Scan:
     """Rows of the whole series."""
     return Scan(

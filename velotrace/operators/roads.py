@@ -14,6 +14,7 @@ from velotrace.operators.ordered import (
     Series,
     first_after,
     last_before,
+    numbered,
     ordered,
     previous,
     row_count,
@@ -148,7 +149,7 @@ def nearest_vertex(
 def gap_bounds(series: Series) -> Series:
     """Add ``_at``, the row's position, and ``_from`` and ``_to``, the known points around it."""
     known = F.col("snapped_lat").isNotNull() & F.col("snapped_lon").isNotNull()
-    series = scan(series, _at=row_count())
+    series = numbered(series, "_at")
     point = F.when(
         known,
         F.struct("_at", F.col("snapped_lat").alias("lat"), F.col("snapped_lon").alias("lon")),

@@ -158,9 +158,9 @@ def _bounds(lat: Column, lon: Column, box: Column) -> tuple[Column, Column]:
         F.greatest(zero, west - lon, lon - east), F.greatest(zero, F.lit(360.0) - dlon_max)
     )
     cos_high = F.when((south <= 0) & (north >= 0), F.lit(1.0)).otherwise(F.greatest(*cos_edges))
-    near = arc(chord(dlat_min, dlon_min, cos_query, F.least(*cos_edges)))
+    near = arc(chord(dlat_min, dlon_min, cos_query, F.least(*cos_edges)), known=True)
     far = F.when(
-        dlon_max <= 180, arc(chord(dlat_max, dlon_max, cos_query, cos_high))
+        dlon_max <= 180, arc(chord(dlat_max, dlon_max, cos_query, cos_high), known=True)
     ).otherwise(F.lit(pi * EARTH_RADIUS_M))
     return near * (1 - SLACK) - SLACK, far * (1 + SLACK) + SLACK
 
@@ -180,6 +180,8 @@ def _start(queries: DataFrame, grid: Grid) -> DataFrame:
     )
     lat, lon = F.col("lat"), F.col("lon")
     count, turns = F.col("_count"), F.floor(F.col("_c") / F.col("_count"))
+    # Near a pole a cell can be met from both sides; it is visited once, with all its places.
+    all_round = F.col("_last") - F.col("_first") >= count
     return (
         queries.repartition(tasks, "lat", "lon").select("lat", "lon", F.cos(F.radians(lat)).alias("_cos"), grid.spread(lat).alias("_wide"))
         .withColumn("_top", F.shiftright(grid.leaf(lat, lon)[0], SPLIT_BITS * (LEVELS - 1)))
@@ -202,8 +204,8 @@ def _start(queries: DataFrame, grid: Grid) -> DataFrame:
             "_cos",
             (lat - grid.height_deg).alias("_south"),
             (lat + grid.height_deg).alias("_north"),
-            (lon - turns * 360.0 - F.col("_wide")).alias("_west"),
-            (lon - turns * 360.0 + F.col("_wide")).alias("_east"),
+            F.when(all_round, -540.0).otherwise(lon - turns * 360.0 - F.col("_wide")).alias("_west"),
+            F.when(all_round, 540.0).otherwise(lon - turns * 360.0 + F.col("_wide")).alias("_east"),
         )
     )
 
@@ -239,7 +241,8 @@ def _boxed() -> Column:
 
 def _metres(p: Column) -> Column:
     """Distance from the query to a place, whose cosines are at hand."""
-    return arc(chord(p["lat"] - F.col("lat"), p["lon"] - F.col("_lon"), F.col("_cos"), p["cos"]))
+    term = chord(p["lat"] - F.col("lat"), p["lon"] - F.col("_lon"), F.col("_cos"), p["cos"])
+    return arc(term, known=True)
 
 
 def nearest(queries: DataFrame, index: PlaceIndex) -> DataFrame:
