@@ -33,6 +33,12 @@ def test_first_listed_prefix_wins(frame):
     assert regions.add_region(df, prefixes=prefixes).first().region == "one"
 
 
+def test_region_tables(spark):
+    assert regions.prefix_table(spark).orderBy("ord").first().prefix == "AS"
+    names = regions.all_regions(spark, exact={"wales": ["A"], "malta": ["B"]})
+    assert names.count() == 6
+
+
 def test_device_name_is_required(frame):
     with pytest.raises(ValueError):
         regions.add_region(frame("a int", (1,)))
@@ -330,6 +336,14 @@ def test_severity_truncates(frame):
     assert column(df.withColumn("s", score), "s", "p") == [1, 1, 3, 9, 10]
 
 
+def test_approximate_statistics_are_close(frame):
+    rows = events.active_rows(accel_rows(frame, spread_peaks(400)))
+    exact = events.axis_statistics(rows).first()
+    near = events.axis_statistics(rows, accuracy=10_000).first()
+    assert near.threshold_x == pytest.approx(exact.threshold_x, rel=0.02)
+    assert near.n == exact.n == 400
+
+
 # ---- reports
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from velotrace.checks import event_queries
 from velotrace.operators import manifest
 from velotrace.plans import daily
+from velotrace.schemas import EVENT_SCHEMA
 from velotrace.sources import messages, sinks, tables
 from velotrace.streaming import live
 from tests.conftest import SMALL
@@ -130,7 +131,9 @@ def test_daily_run(spark, inbox, tmp_path):
     assert [r.time_s for r in trips.orderBy("timestamp").collect()] == [0.0, 60.0, 60.0, 60.0, 360.0]
     daily.enrich_slices(spark, split, enriched)
     assert daily.publish_day(spark, enriched, DAY).count() == 5
-    assert daily.detect_day(trips).count() == 0
+    daily.detect_day(trips, DAY, str(tmp_path / "events"))
+    stored = spark.read.parquet(str(tmp_path / "events"))
+    assert stored.columns[:9] == EVENT_SCHEMA.names and stored.count() == 0
 
 
 def test_stream_of_messages(spark, inbox, tmp_path):

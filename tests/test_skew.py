@@ -6,14 +6,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from velotrace.checks import event_queries, telemetry_queries
+from velotrace.checks import event_queries
 from velotrace.checks.views import telemetry
 from velotrace.operators import clean, events, joins, ordered, reports, roads, trips
 from velotrace.operators.quantiles import quantiles
+from velotrace.plans import daily
 from velotrace.settings import Settings
 from tests.conftest import SMALL
 
-TINY = Settings(group_rows=60)
+TINY = Settings(group_rows=150)
 
 
 def same(a, b):
@@ -91,6 +92,23 @@ def test_trips_and_gaps(spark):
     same(run(Settings()), run(TINY))
 
 
+def test_whole_enrichment(spark):
+    df = hot_rows(spark).withColumn("date", F.lit("2025-08-13"))
+    road = spark.range(400).select(
+        (F.lit(51) + F.col("id") / 10000).alias("lat"), F.lit(-0.5).alias("lon")
+    )
+    for more in ({}, {"road_points": road}):
+
+        def run(settings):
+            return daily.enrich(df, settings, within=["date"], **more).withColumns(
+                {c: F.round(c, 6) for c in ("distance_m", "position_speed", "snapped_lat")}
+            )
+
+        plain = run(Settings())
+        assert plain.count() == df.count()
+        same(plain, run(TINY))
+
+
 def test_only_one_copy_keeps_its_coordinates(spark):
     kept = clean.blank_repeats(hot_rows(spark), TINY).filter("position_latitude = 51.5")
     assert kept.count() == 1

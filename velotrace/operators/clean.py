@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velotrace.operators.ordered import ordered, previous, row_count, scan
+from velotrace.operators.ordered import Series, ordered, previous, row_count, scan
 from velotrace.schemas import DEVICE, NUMERIC_COLUMNS, ROW_ORDER, TIME_ORDER
 from velotrace.settings import Settings
 
@@ -67,16 +67,15 @@ def add_time_diff(
     """Seconds since the device's previous row; 0 for its first row and where unknown."""
     if "timestamp" not in df.columns:
         return df
-    series = scan(
-        ordered(df, [*within, DEVICE], TIME_ORDER, settings, sizes),
-        _prev=previous(F.struct(F.col("timestamp").alias("ts"))),
-    )
+    return time_diff(ordered(df, [*within, DEVICE], TIME_ORDER, settings, sizes)).done()
+
+
+def time_diff(series: Series) -> Series:
+    """``add_time_diff`` on the rows of each device."""
+    series = scan(series, _prev=previous(F.struct(F.col("timestamp").alias("ts"))))
     known = F.when(F.col(DEVICE).isNotNull(), F.col("timestamp") - F.col("_prev.ts"))
-    return (
-        series.done()
-        .withColumn("time_diff", F.coalesce(known, F.lit(0)).cast("double"))
-        .drop("_prev")
-    )
+    diff = F.coalesce(known, F.lit(0)).cast("double")
+    return series.map(lambda d: d.withColumn("time_diff", diff).drop("_prev"))
 
 
 def blank_repeats(
@@ -86,12 +85,19 @@ def blank_repeats(
 
     The rule spans devices: a place seen by two of them stays on the first only.
     """
-    series = scan(ordered(df, [*within, LAT, LON], ROW_ORDER, settings), _nth=row_count())
+    # Rows without any coordinates have nothing to blank and are no group; each input partition
+    # keeps its own apart, so they never meet in one task.
+    nowhere = F.col(LAT).isNull() & F.col(LON).isNull()
+    spread = F.when(nowhere, F.spark_partition_id()).otherwise(-1)
+    keys = [*within, LAT, LON, "_spread"]
+    sizes = df.filter(~nowhere).withColumn("_spread", F.lit(-1)).groupBy(*keys).count()
+    series = ordered(df.withColumn("_spread", spread), keys, ROW_ORDER, settings, sizes)
     first = F.col("_nth") == 1
     return (
-        series.done()
+        scan(series, _nth=row_count())
+        .done()
         .withColumns({c: F.when(first, F.col(c)) for c in (LAT, LON)})
-        .drop("_nth")
+        .drop("_nth", "_spread")
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from velotrace.operators.joins import lookup
 from velotrace.operators.ordered import ordered, row_count, scan
-from velotrace.operators.quantiles import quantiles
+from velotrace.operators.quantiles import approximate_quantiles, quantiles
 from velotrace.schemas import ACCEL_CHANNELS, EVENT_SCHEMA, ROW_ORDER
 from velotrace.session import written
 from velotrace.settings import SEVERITY_LABELS, Settings
@@ -64,32 +64,33 @@ def axis_statistics(
     settings: Settings = Settings(),
     by: Sequence[str] = (),
     null_policy: str = "ignore",
+    accuracy: int | None = None,
 ) -> DataFrame:
     """One row per group: ``n`` and each axis's threshold, maximum, median and MAD.
 
-    With ``null_policy="reference"`` an axis with any missing peak gets no threshold.
+    With ``null_policy="reference"`` an axis with any missing peak gets no threshold. Quantiles
+    are exact unless an ``accuracy`` is given.
     """
     by = list(by)
+
+    def find(df, probs, extra=()):
+        if accuracy is None:
+            return quantiles(df, peaks, probs, by, settings, extra)
+        return approximate_quantiles(df, peaks, probs, by, accuracy, extra)
+
     peaks = [f"peak_{a}" for a in AXES]
     values = active.select(*by, *peaks)
     sizes = [F.count("*").alias("n")] + [
         x for p in peaks for x in (F.max(p).alias(f"{p}_max"), F.count(p).alias(f"{p}_known"))
     ]
     middle = settle(
-        quantiles(
-            values,
-            peaks,
-            {"threshold": settings.quantile / 100, "median": 0.5},
-            by,
-            settings,
-            sizes,
-        ),
+        find(values, {"threshold": settings.quantile / 100, "median": 0.5}, sizes),
         by,
     )
     away = attach(values, middle, by, settings).select(
         *by, *[F.abs(F.col(p) - F.col(f"{p}_median")).alias(p) for p in peaks]
     )
-    both = attach(quantiles(away, peaks, {"mad": 0.5}, by, settings), middle, by, settings)
+    both = attach(find(away, {"mad": 0.5}), middle, by, settings)
     threshold = {
         a: F.when(F.col(f"peak_{a}_known") == F.col("n"), F.col(f"peak_{a}_threshold"))
         if null_policy == "reference"

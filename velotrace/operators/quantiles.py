@@ -50,6 +50,25 @@ def quantiles(
     ).unionByName(_large(restrict(df, large, by, "left_semi"), columns, probs, by, extra))
 
 
+def approximate_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Mapping[str, float],
+    by: Sequence[str] = (),
+    accuracy: int = 10_000,
+    extra: Sequence[Column] = (),
+) -> DataFrame:
+    """Values whose rank is within a share 1/accuracy of the wanted one, from one pass."""
+    return df.groupBy(*by).agg(
+        *[
+            F.percentile_approx(c, float(p), accuracy).alias(f"{c}_{label}")
+            for c in columns
+            for label, p in probs.items()
+        ],
+        *extra,
+    )
+
+
 def _small(df, columns, probs, by, extra) -> DataFrame:
     return df.groupBy(*by).agg(
         *[

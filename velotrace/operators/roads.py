@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -149,7 +149,8 @@ def nearest_vertex(
 def gap_bounds(series: Series) -> Series:
     """Add ``_at``, the row's position, and ``_from`` and ``_to``, the known points around it."""
     known = F.col("snapped_lat").isNotNull() & F.col("snapped_lon").isNotNull()
-    series = numbered(series, "_at")
+    if series.order != ("_at",):
+        series = numbered(series, "_at")
     point = F.when(
         known,
         F.struct("_at", F.col("snapped_lat").alias("lat"), F.col("snapped_lon").alias("lon")),
@@ -251,55 +252,73 @@ def interpolate_gaps(
     distance, and without ``roads`` vertices are taken as they are. Gaps do not span devices.
     """
     series = ordered(df, [*within, DEVICE], TIME_ORDER, settings, sizes)
-    rows = gap_progress(gap_bounds(series)).done()
     if routes is None:
-        last = settings.line_points - 1
-        length = _line_length()
-        spot = F.least(F.lit(1.0), F.col("_share") + F.col("_moved_m") / length)
-        index = F.ceil(spot * last - 0.5)
-        lat, lon = _line_vertex(index, last)
-        usable = in_gap() & (length > 0)
-        placed = rows.withColumns(
+        return interpolate_lines(series, settings, roads).done().select(*df.columns)
+
+    rows = gap_progress(gap_bounds(series)).done()
+    gap = in_gap()
+    asked = lookup(
+        _with_keys(rows.filter(gap)), written(route_summary(routes), "route-sizes"), ROUTE, settings
+    )
+    usable = F.coalesce((F.col("vertices") >= 2) & (F.col("total_m") > 0), F.lit(False))
+    asked = written(
+        asked.withColumn(
+            "_progress",
+            F.least(F.col("total_m"), F.col("total_m") * F.col("_share") + F.col("_moved_m")),
+        ),
+        "gap-rows",
+    )
+    rows = (
+        nearest_vertex(asked.filter(usable), routes, "_progress", settings)
+        .unionByName(asked.filter(~usable), allowMissingColumns=True)
+        .unionByName(rows.filter(~gap), allowMissingColumns=True)
+    )
+    place = _snapped_vertices(rows, roads, settings)
+    return place(rows).select(*df.columns)
+
+
+def interpolate_lines(
+    series: Series, settings: Settings = Settings(), roads: PlaceIndex | None = None
+) -> Series:
+    """``interpolate_gaps`` along straight lines, on the rows of each device."""
+    last = settings.line_points - 1
+    length = _line_length()
+    spot = F.least(F.lit(1.0), F.col("_share") + F.col("_moved_m") / length)
+    lat, lon = _line_vertex(F.ceil(spot * last - 0.5), last)
+    usable = in_gap() & (length > 0)
+    series = gap_progress(gap_bounds(series)).map(
+        lambda d: d.withColumns(
             {"vertex_lat": F.when(usable, lat), "vertex_lon": F.when(usable, lon)}
         )
-    else:
-        gap = in_gap()
-        asked = lookup(
-            _with_keys(rows.filter(gap)), written(route_summary(routes), "route-sizes"), ROUTE, settings
-        )
-        usable = F.coalesce((F.col("vertices") >= 2) & (F.col("total_m") > 0), F.lit(False))
-        asked = written(
-            asked.withColumn(
-                "_progress",
-                F.least(F.col("total_m"), F.col("total_m") * F.col("_share") + F.col("_moved_m")),
-            ),
-            "gap-rows",
-        )
-        placed = (
-            nearest_vertex(asked.filter(usable), routes, "_progress", settings)
-            .unionByName(asked.filter(~usable), allowMissingColumns=True)
-            .unionByName(rows.filter(~gap), allowMissingColumns=True)
-        )
-    if roads is not None:
-        vertices = placed.filter(F.col("vertex_lat").isNotNull()).select(
-            F.col("vertex_lat").alias("lat"), F.col("vertex_lon").alias("lon")
-        )
-        found = written(nearest(vertices.distinct(), roads), "snapped-vertices")
-        placed = lookup(
-            placed,
-            found.select(
-                F.col("lat").alias("vertex_lat"),
-                F.col("lon").alias("vertex_lon"),
-                "near_lat",
-                "near_lon",
-            ),
-            ["vertex_lat", "vertex_lon"],
-            settings,
-        )
-        lat, lon = F.col("near_lat"), F.col("near_lon")
-    else:
-        lat, lon = F.col("vertex_lat"), F.col("vertex_lon")
-    return _placed(placed, lat, lon).select(*df.columns)
+    )
+    place = _snapped_vertices(series.rows, roads, settings)
+    return series.map(lambda d: place(d).drop(*_GAP_HELPERS))
+
+
+_GAP_HELPERS = [
+    "_from", "_to", "_path", "_start", "_share", "_moved_m",
+    "vertex_lat", "vertex_lon", "near_lat", "near_lon",
+]
+
+
+def _snapped_vertices(
+    rows: DataFrame, roads: PlaceIndex | None, settings: Settings
+) -> Callable[[DataFrame], DataFrame]:
+    """How to put rows on their vertices: as they are, or on the nearest road."""
+    if roads is None:
+        return lambda d: _placed(d, F.col("vertex_lat"), F.col("vertex_lon"))
+    vertices = rows.filter(F.col("vertex_lat").isNotNull()).select(
+        F.col("vertex_lat").alias("lat"), F.col("vertex_lon").alias("lon")
+    )
+    found = written(nearest(vertices.distinct(), roads), "snapped-vertices").select(
+        F.col("lat").alias("vertex_lat"),
+        F.col("lon").alias("vertex_lon"),
+        "near_lat",
+        "near_lon",
+    )
+    return lambda d: _placed(
+        lookup(d, found, ["vertex_lat", "vertex_lon"], settings), F.col("near_lat"), F.col("near_lon")
+    )
 
 
 def _placed(rows: DataFrame, lat: Column, lon: Column) -> DataFrame:
@@ -338,14 +357,12 @@ def fill_missing(
     Rows before a device's first known row or after its last stay unknown, as do rows of a gap
     without a route.
     """
-    rows = gap_bounds(ordered(df, [*within, DEVICE], TIME_ORDER, settings, sizes)).done()
-    k = F.col("_at") - F.col("_from._at") - 1
-    missing = F.col("_to._at") - F.col("_from._at") - 1
+    series = ordered(df, [*within, DEVICE], TIME_ORDER, settings, sizes)
     if routes is None:
-        index = spread_index(k, missing, F.lit(settings.line_points))
-        lat, lon = _line_vertex(index, settings.line_points - 1)
-        return _placed(rows, lat, lon).select(*df.columns)
+        return fill_lines(series, settings).done().select(*df.columns)
 
+    rows = gap_bounds(series).done()
+    k, missing = _run()
     gap = in_gap()
     asked = lookup(
         _with_keys(rows.filter(gap)), written(route_summary(routes), "route-sizes"), ROUTE, settings
@@ -363,3 +380,17 @@ def fill_missing(
     found = lookup(asked, table, [*ROUTE, "vertex_seq"], settings)
     filled = _placed(found, F.col("vertex_lat"), F.col("vertex_lon"))
     return filled.select(*df.columns).unionByName(rows.filter(~gap).select(*df.columns))
+
+
+def _run() -> tuple[Column, Column]:
+    """A row's place, from 0, among the unknown rows of its gap, and their number."""
+    before = F.col("_from._at")
+    return F.col("_at") - before - 1, F.col("_to._at") - before - 1
+
+
+def fill_lines(series: Series, settings: Settings = Settings()) -> Series:
+    """``fill_missing`` along straight lines, on the rows of each device."""
+    k, missing = _run()
+    index = spread_index(k, missing, F.lit(settings.line_points))
+    lat, lon = _line_vertex(index, settings.line_points - 1)
+    return gap_bounds(series).map(lambda d: _placed(d, lat, lon).drop(*_GAP_HELPERS))

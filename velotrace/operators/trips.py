@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from velotrace.functions.geo import haversine, ms_to_kmh, point_key
 from velotrace.operators.joins import lookup
 from velotrace.operators.ordered import (
+    Series,
     ordered,
     previous,
     running_max,
@@ -39,10 +40,30 @@ def trip_metrics(
     without a device, keep null distance and time. ``road_distances(from_key, to_key, total_m)``
     replaces the great-circle distance where it has the pair.
     """
+    return measure(
+        ordered(df, [*within, DEVICE], TIME_ORDER, settings, sizes),
+        settings,
+        lat,
+        lon,
+        first_fix_rule,
+        road_distances,
+    )
+
+
+def measure(
+    series: Series,
+    settings: Settings = Settings(),
+    lat: str = "snapped_lat",
+    lon: str = "snapped_lon",
+    first_fix_rule: str = "reference",
+    road_distances: DataFrame | None = None,
+) -> DataFrame:
+    """``trip_metrics`` on the rows of each device."""
+    within = series.keys[:-1]
+    series = series.map(lambda d: d.drop("time_s", "trip_break", "distance_m", "trip_id"))
     known = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    bare = df.drop("time_s", "trip_break", "distance_m", "trip_id")
     series = scan(
-        ordered(bare, [*within, DEVICE], TIME_ORDER, settings, sizes),
+        series,
         _prev=previous(
             F.struct(
                 F.col("timestamp").alias("ts"), F.col(lat).alias("lat"), F.col(lon).alias("lon")
@@ -114,7 +135,7 @@ def trip_metrics(
             "trip_id": F.when(has_device, F.concat_ws("-", *within, DEVICE, "_trip")),
         }
     )
-    if "position_speed" in df.columns:
+    if "position_speed" in rows.columns:
         speed = ms_to_kmh(F.col("distance_m") / F.col("time_s"))
         moving = F.when(
             F.coalesce(F.col("distance_m") > 0, F.lit(False)),

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from velotrace.operators import clean, events, publish, regions, roads, trips
 from velotrace.operators.manifest import pending_rows
-from velotrace.operators.ordered import key_sizes
-from velotrace.schemas import DEVICE
+from velotrace.operators.ordered import key_sizes, ordered
+from velotrace.schemas import DEVICE, TIME_ORDER
 from velotrace.session import written
 from velotrace.settings import Settings
 from velotrace.sources import messages as message_source
@@ -37,11 +37,18 @@ def enrich(
     rows = clean.blank_repeats(rows, settings, within)
     index = None if road_points is None else roads.road_index(road_points, settings)
     rows = roads.snap(rows, index, settings)
+    if routes is None:
+        # All further steps follow the same ordered series, so a large device is split once.
+        series = clean.time_diff(ordered(rows, [*within, DEVICE], TIME_ORDER, settings, sizes))
+        series = roads.interpolate_lines(series, settings, index)
+        series = roads.fill_lines(series, settings)
+        return trips.measure(series, settings, road_distances=road_distances).drop("_at")
+
     rows = clean.add_time_diff(rows, settings, within, sizes)
-    rows = roads.interpolate_gaps(rows, settings, routes, index, within, sizes)
-    if routes is not None or index is not None:
-        # Both passes join the rows to routes; without a cut the second would repeat the first.
-        rows = written(rows, "filled-rows")
+    # Both passes join the rows to routes; without a cut the second would repeat the first.
+    rows = written(
+        roads.interpolate_gaps(rows, settings, routes, index, within, sizes), "filled-rows"
+    )
     rows = roads.fill_missing(rows, settings, routes, within, sizes)
     return trips.trip_metrics(
         rows, settings, road_distances=road_distances, within=within, sizes=sizes
@@ -87,5 +94,8 @@ def publish_day(spark: SparkSession, enriched: str, day: date) -> DataFrame:
     return publish.publish(rows.withColumnRenamed("region", "source_region"))
 
 
-def detect_day(daily_trips: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    return events.abnormal_events(daily_trips, settings)
+def detect_day(
+    daily_trips: DataFrame, day: date, out: str, settings: Settings = Settings()
+) -> None:
+    """The day's events; a day without any still gets an empty table."""
+    sinks.write_day(events.abnormal_events(daily_trips, settings), out, day)

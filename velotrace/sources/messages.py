@@ -17,13 +17,23 @@ TEXT_SCHEMA = T.StructType(
     [T.StructField(name, T.StringType()) for name, _ in MESSAGE_FIELDS]
     + [T.StructField(CORRUPT, T.StringType())]
 )
-OPTIONS = {
-    "multiLine": True,
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": CORRUPT,
-    "pathGlobFilter": "*.json",
-    "recursiveFileLookup": True,
-}
+FILES = {"wholetext": True, "pathGlobFilter": "*.json", "recursiveFileLookup": True}
+DECODE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def decoded(files: DataFrame) -> DataFrame:
+    """Messages from whole files in ``value``; text that is no object is kept in ``_corrupt``."""
+    parsed = files.select(
+        "value",
+        F.from_json("value", TEXT_SCHEMA, DECODE).alias("_m"),
+        F.col("_metadata.file_path").alias("source_file"),
+    )
+    whole = F.when(F.col("_m").isNull(), F.col("value")).otherwise(F.col("_m")[CORRUPT])
+    return parsed.select(
+        *[F.col("_m").getField(name).alias(name) for name, _ in MESSAGE_FIELDS],
+        whole.alias(CORRUPT),
+        "source_file",
+    )
 
 
 def read_messages(spark: SparkSession, root: str, day: date | None = None) -> DataFrame:
@@ -31,12 +41,7 @@ def read_messages(spark: SparkSession, root: str, day: date | None = None) -> Da
 
     A file outside a folder of at least year, month and day is kept whatever the day.
     """
-    messages = (
-        spark.read.schema(TEXT_SCHEMA)
-        .options(**OPTIONS)
-        .json(root)
-        .withColumn("source_file", F.col("_metadata.file_path"))
-    )
+    messages = decoded(spark.read.options(**FILES).text(root))
     if day is None:
         return messages
     return messages.filter(on_day(F.col("source_file"), root, day))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,12 @@ def write_days(df: DataFrame, root: str, day: Column | str = "date", kind: str =
     write_slices(dated, root, list(parts), kind)
 
 
+def write_day(df: DataFrame, root: str, day: date, kind: str = "parquet") -> None:
+    """Write one day's folder, with its columns even if there are no rows."""
+    folder = f"{root.rstrip('/')}/year={day:%Y}/month={day:%m}/day={day:%d}"
+    df.write.mode("overwrite").option("header", True).format(kind).save(folder)
+
+
 def compare_written(expected: DataFrame, stored: DataFrame) -> DataFrame:
     """Row and null counts per column of a table and its stored copy; ``same`` if they agree."""
 

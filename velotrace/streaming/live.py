@@ -12,18 +12,13 @@ from velotrace.operators.events import active_rows, axis_statistics, explode_hit
 from velotrace.operators.regions import region_rows
 from velotrace.schemas import DEVICE
 from velotrace.settings import Settings
-from velotrace.sources.messages import OPTIONS, TEXT_SCHEMA, to_telemetry
+from velotrace.sources.messages import FILES, decoded, to_telemetry
 
 
 def message_stream(spark: SparkSession, root: str, files_per_batch: int = 10_000) -> DataFrame:
     """Telemetry rows with ``event_time`` from new message files below a folder."""
-    messages = (
-        spark.readStream.schema(TEXT_SCHEMA)
-        .options(**OPTIONS)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(root)
-        .withColumn("source_file", F.col("_metadata.file_path"))
-    )
+    files = spark.readStream.options(**FILES).option("maxFilesPerTrigger", files_per_batch)
+    messages = decoded(files.text(root))
     return with_event_time(to_telemetry(messages))
 
 
