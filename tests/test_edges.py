@@ -95,6 +95,12 @@ def test_zero_coordinates(frame):
     assert column(df.withColumn("x", events.has_position()), "x", "i") == [True, False, False, True]
 
 
+def test_sorting_puts_nulls_last(frame):
+    df = frame("device_id long, timestamp double", (2, 1.0), (None, 0.0), (1, None), (1, 5.0))
+    rows = clean.sort_rows(df).collect()
+    assert [tuple(r) for r in rows] == [(1, 5.0), (1, None), (2, 1.0), (None, 0.0)]
+
+
 def test_serials_and_text(frame):
     df = frame("device_serial_number string, timestamp string", ("S", "1"), (None, "x"), (None, "NaN"), (None, "2"))
     rows = clean.coerce_numeric(clean.without_serial(df)).collect()

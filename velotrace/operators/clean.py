@@ -40,8 +40,12 @@ def can_snap(lat: str = LAT, lon: str = LON) -> Column:
 
 
 def sort_rows(df: DataFrame, columns: Sequence[str] = ROW_ORDER) -> DataFrame:
-    """Global sort on the columns that are present, nulls last."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in columns if c in df.columns])
+    """Global sort on the columns that are present, nulls last.
+
+    The input partition breaks ties, so that copies of a row need not share one task.
+    """
+    order = [F.col(c).asc_nulls_last() for c in columns if c in df.columns]
+    return df.withColumn("_part", F.spark_partition_id()).orderBy(*order, "_part").drop("_part")
 
 
 def add_trip_columns(df: DataFrame) -> DataFrame:
