@@ -6,6 +6,7 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from velotrace import session
 from velotrace.checks import event_queries
 from velotrace.operators import manifest
 from velotrace.plans import daily
@@ -176,3 +177,23 @@ def test_event_counts_per_day(spark):
     timed = live.with_event_time(found)
     total = live.daily_event_counts(timed).agg(F.sum("events")).first()[0]
     assert total == found.count()
+
+
+class Unset:
+    """A session whose configuration names no checkpoint folder."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = self
+        self.master, self.applicationId = master, f"app-{master}"
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_shared_folder(spark):
+    assert session.shared_folder(Unset("local[2]")).startswith("/tmp/run-")
+    with pytest.raises(RuntimeError):
+        session.shared_folder(Unset("yarn"))
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or session.shared_folder(spark) == named.rstrip("/")

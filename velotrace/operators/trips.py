@@ -99,19 +99,16 @@ def measure(
                     known & F.col("_prev.lat").isNotNull(),
                     point_key(F.col("_prev.lat"), F.col("_prev.lon")),
                 ),
-                "to_key": point_key(F.col(lat), F.col(lon)),
+                "to_key": F.when(known, point_key(F.col(lat), F.col(lon))),
             }
         )
-        # Rows without a pair have nothing to look up, and would all share one join key.
-        paired = F.col("from_key").isNotNull()
-        found = lookup(
-            rows.filter(paired),
+        # Rows without a pair share a null key, which the lookup spreads like any hot key.
+        rows = lookup(
+            rows,
             road_distances.select("from_key", "to_key", "total_m"),
             ["from_key", "to_key"],
             settings,
         )
-        rest = rows.filter(~paired).withColumn("total_m", F.lit(None).cast("double"))
-        rows = found.unionByName(rest)
         measured = F.coalesce(F.col("total_m"), measured)
     skip_first = F.col("_first_fix") if first_fix_rule == "reference" else F.lit(False)
     counted = has_device & (F.col("_size") >= 2)
