@@ -172,9 +172,11 @@ def _start(queries: DataFrame, grid: Grid) -> DataFrame:
     antimeridian. The box of ``_south`` to ``_east`` contains the circle.
 
     Each query turns into many distance computations, so queries are spread over all cores even
-    where they are few bytes; results are grouped by query later, on the same partitioning.
+    where they are few bytes; results are grouped by query later, on the same partitioning. They
+    are written first, as the spreading would otherwise be merged with the shuffle before it.
     """
     spark = queries.sparkSession
+    queries = written(queries.select("lat", "lon"), "queries")
     tasks = max(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
