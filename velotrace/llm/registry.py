@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from velotrace.llm import chat_query, mixing_query
+from velotrace.llm import chat_query, fingerprint_query, mixing_query, warc_query
 
 QUERIES = {
     f.__name__: f
     for f in (
         mixing_query.op3_mixing_sources,
         chat_query.op5_chat_formatting,
+        warc_query.op6_warc_revisits,
+        fingerprint_query.op7_document_fingerprints,
     )
 }
 
 SQL = {
     "op3_mixing_sources": mixing_query.SQL,
     "op5_chat_formatting": chat_query.SQL,
+    "op6_warc_revisits": warc_query.SQL,
 }
