@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from velotrace.llm import chat_query, fingerprint_query, mixing_query, warc_query
+from velotrace.llm import chat_query, fingerprint_query, mixing_query, url_query, warc_query
 
 QUERIES = {
     f.__name__: f
     for f in (
+        url_query.op1_url_filters,
         mixing_query.op3_mixing_sources,
         chat_query.op5_chat_formatting,
         warc_query.op6_warc_revisits,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_url_filters": url_query.SQL,
     "op3_mixing_sources": mixing_query.SQL,
     "op5_chat_formatting": chat_query.SQL,
     "op6_warc_revisits": warc_query.SQL,
