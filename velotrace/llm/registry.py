@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from velotrace.llm import chat_query, fingerprint_query, mixing_query, url_query, warc_query
+from velotrace.llm import chat_query, fingerprint_query, mixing_query, quality_query, url_query, warc_query
 
 QUERIES = {
     f.__name__: f
@@ -12,6 +12,7 @@ QUERIES = {
         chat_query.op5_chat_formatting,
         warc_query.op6_warc_revisits,
         fingerprint_query.op7_document_fingerprints,
+        quality_query.op9_quality_classifier,
     )
 }
 
