@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from velotrace.llm import chat_query, fingerprint_query, mixing_query, quality_query, url_query, warc_query
+from velotrace.llm import (
+    chat_query,
+    fingerprint_query,
+    mixing_query,
+    quality_query,
+    toxicity_query,
+    url_query,
+    warc_query,
+)
 
 QUERIES = {
     f.__name__: f
     for f in (
         url_query.op1_url_filters,
+        toxicity_query.op2_toxicity,
         mixing_query.op3_mixing_sources,
         chat_query.op5_chat_formatting,
         warc_query.op6_warc_revisits,
