@@ -86,9 +86,13 @@ def radical_inverse(i: Column) -> Column:
     return F.conv(mirrored, 2, 10).cast("long") / F.lit(float(2**POINT_BITS))
 
 
-def schedule(sources: DataFrame, slots: int, slots_per_range: int = 100_000) -> DataFrame:
-    """(slot, place, rank): which source each slot takes, and its number among that source's."""
+def schedule(sources: DataFrame, slots: int) -> DataFrame:
+    """(slot, place, rank): which source each slot takes, and its number among that source's.
+
+    Slots are ranked within ranges, of which a source has at most 10,000 to add up.
+    """
     spark = sources.sparkSession
+    slots_per_range = max(8192, math.ceil(slots / 10_000))
     points = spark.range(slots).select(
         F.col("id").alias("slot"), radical_inverse(F.col("id")).alias("point")
     ).withColumn("cell", F.floor(F.col("point") * CELLS).cast("int"))
