@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from velotrace.llm import (
     chat_query,
+    decontaminate_query,
     fingerprint_query,
     mixing_query,
     quality_query,
@@ -18,6 +19,7 @@ QUERIES = {
         url_query.op1_url_filters,
         toxicity_query.op2_toxicity,
         mixing_query.op3_mixing_sources,
+        decontaminate_query.op4_benchmark_decontamination,
         chat_query.op5_chat_formatting,
         warc_query.op6_warc_revisits,
         fingerprint_query.op7_document_fingerprints,

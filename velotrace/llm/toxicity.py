@@ -55,10 +55,10 @@ def starts(n: int) -> list[int]:
 
 
 def word_inputs(word: str) -> tuple[int, list[int]]:
-    """The bucket of a word and those of its character n-grams of 3 and 4."""
+    """The bucket of a word and those of its character n-grams of 3 to 5."""
     core = word.strip(_EDGES) or word
     framed = f"<{core}>"
-    grams = [framed[i : i + n] for n in (3, 4) for i in range(len(framed) - n + 1)] or [framed]
+    grams = [framed[i : i + n] for n in (3, 4, 5) for i in range(len(framed) - n + 1)] or [framed]
     return (
         zlib.crc32(core.encode("utf-8", "surrogatepass")) % WORD_BUCKETS,
         [zlib.crc32(g.encode("utf-8", "surrogatepass")) % GRAM_BUCKETS for g in grams],
@@ -103,8 +103,8 @@ def new_weights(rng: np.random.Generator) -> Weights:
         return (rng.standard_normal(shape) * scale).astype(np.float32)
 
     weights = {
-        "word": normal(WORD_BUCKETS, EMBEDDING, scale=0.1),
-        "gram": normal(GRAM_BUCKETS, EMBEDDING, scale=0.3),
+        "word": normal(WORD_BUCKETS, EMBEDDING, scale=0.05),
+        "gram": normal(GRAM_BUCKETS, EMBEDDING, scale=0.1),
         "Wa": normal(2 * h, 2 * h, scale=0.3),
         "va": normal(2 * h, scale=0.3),
         "out": normal(2 * h, scale=0.3),
@@ -170,9 +170,21 @@ def window_logits(weights: Weights, projected: dict[str, np.ndarray], ids: np.nd
     return _pool(weights, np.concatenate(states, axis=2), mask)[3]
 
 
-def loss_gradients(weights: Weights, words: Words, ids: np.ndarray, mask: np.ndarray, y: np.ndarray):
-    """Mean logistic loss of the windows, and its gradients; ids point into ``words``."""
+def loss_gradients(
+    weights: Weights,
+    words: Words,
+    ids: np.ndarray,
+    mask: np.ndarray,
+    y: np.ndarray,
+    known: np.ndarray | None = None,
+):
+    """Mean logistic loss of the windows, and its gradients; ids point into ``words``.
+
+    ``known`` tells whose own embeddings count; the others are read by their characters only.
+    """
     inputs = embed(weights, words)
+    if known is not None:
+        inputs[:, :EMBEDDING] *= known[:, None]
     projected = project(weights, inputs)
     reads = {w: _read(weights, w, projected[w], ids, mask, True) for w in "fb"}
     states = np.concatenate([reads[w][0] for w in "fb"], axis=2)
@@ -212,6 +224,8 @@ def loss_gradients(weights: Weights, words: Words, ids: np.ndarray, mask: np.nda
         g[f"W{w}"] = inputs.T @ dprojected
         g[f"c{w}"] = dprojected.sum(0)
         dinputs += dprojected @ weights[f"W{w}"].T
+    if known is not None:
+        dinputs[:, :EMBEDDING] *= known[:, None]
     g["word"] = np.zeros_like(weights["word"])
     np.add.at(g["word"], words.bucket, dinputs[:, :EMBEDDING])
     sizes = words.sizes()
@@ -247,11 +261,15 @@ def train(
     document: np.ndarray,
     label: np.ndarray,
     epochs: int = 14,
+    steps: int = 500,
     batch: int = 64,
     rate: float = 0.01,
     seed: int = 7,
 ) -> Model:
-    """``document`` numbers the document of each window from 0; ``label`` is per document."""
+    """``document`` numbers the document of each window from 0; ``label`` is per document.
+
+    Few rows are gone through more often, until there are ``steps`` updates.
+    """
     share = float(label.mean()) if len(label) else 0.5
     if share in (0.0, 1.0) or not len(label):
         clipped = min(max(share, 1e-3), 1 - 1e-3) if len(label) else 0.5
@@ -277,6 +295,9 @@ def train(
         return np.concatenate([window_logits(weights, projected, ids[p], mask[p]) for p in parts])
 
     toxic_windows = np.flatnonzero(label[document] == 1)
+    n_others = max(4 * len(positive), 500)
+    per_epoch = -(-(len(positive) + min(n_others, len(negative))) // batch)
+    epochs = max(epochs, -(-steps // per_epoch))
     step = 0
     for epoch in range(epochs):
         if epoch:
@@ -285,7 +306,7 @@ def train(
             picked = np.array([first[d] + int(np.argmax(best[first[d] : first[d] + count[d]])) for d in positive])
         else:
             picked = first[positive] + rng.integers(0, count[positive])
-        others = rng.permutation(negative)[: max(2 * len(positive), 500)]
+        others = rng.permutation(negative)[:n_others]
         others = first[others] + rng.integers(0, count[others])
         chosen = rng.permutation(np.concatenate([picked, others]))
         pace = rate * (1 - epoch / epochs) + rate / 20
@@ -295,6 +316,7 @@ def train(
             _, g = loss_gradients(
                 weights, words.take(used), local.reshape(len(which), WIDTH), mask[which],
                 label[document[which]].astype(np.float32),
+                (rng.random(len(used)) < 0.5).astype(np.float32),
             )
             step += 1
             for k, v in g.items():
