@@ -6,6 +6,7 @@ from velotrace.llm import (
     chat_query,
     decontaminate_query,
     fingerprint_query,
+    jaccard_query,
     mixing_query,
     quality_query,
     toxicity_query,
@@ -24,6 +25,7 @@ QUERIES = {
         warc_query.op6_warc_revisits,
         fingerprint_query.op7_document_fingerprints,
         quality_query.op9_quality_classifier,
+        jaccard_query.op10_ngram_jaccard_join,
     )
 }
 
@@ -31,5 +33,6 @@ SQL = {
     "op1_url_filters": url_query.SQL,
     "op3_mixing_sources": mixing_query.SQL,
     "op5_chat_formatting": chat_query.SQL,
+    "op10_ngram_jaccard_join": jaccard_query.SQL,
     "op6_warc_revisits": warc_query.SQL,
 }
