@@ -10,10 +10,10 @@ kept. The order puts n-grams that many documents hold last.
 2. A second pass emits the first entries of each class. Columns with few entries are multiplied
    where they meet: they give pairs, whose counts are summed over columns, and pairs below the
    bound that their sizes set go.
-3. Columns with many entries give a pivot each, the same for columns of the same classes. Classes
-   that already link through pivots and pairs need no other link, so only columns that still hold
-   different components are cut into blocks by size, and each pair of blocks whose sizes allow a
-   link is multiplied whole in one task, which returns links and no other pairs.
+3. Columns with many entries give a few pivots each, the same for columns of the same classes.
+   Classes that already link through pivots and pairs need no other link, so only columns that
+   still hold different components are cut into blocks by size, and each pair of blocks whose sizes
+   allow a link is multiplied whole in one task, which returns links and no other pairs.
 4. Pairs are verified with both whole sets, and links become components.
 
 Sets are of 64-bit hashes. Nothing is capped: the list of frequent n-grams is bounded, and changes
@@ -347,41 +347,57 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return both.mapInArrow(check, "a long, b long")
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The product of two blocks: how many n-grams each set on the left shares with each on the right.
+
+    Columns with many entries are multiplied as dense strips, the others entry by entry.
+    """
+    sets, n, m = [*left, *right], len(left), len(right)
+    columns, at = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(n + m), [len(s) for s in sets])
+    on_left = np.bincount(at[owner < n], minlength=len(columns))
+    on_right = np.bincount(at[owner >= n], minlength=len(columns))
+    counts = np.zeros((n, m), np.float32)
+    work = on_left * on_right
+    number = np.cumsum(work > 64) - 1
+    dense = work[at] > 64
+    i, c = owner[dense], number[at[dense]]
+    strip = 2048
+    order = np.argsort(c, kind="stable")
+    i, c = i[order], c[order]
+    for low in range(0, int(c[-1]) + 1 if len(c) else 0, strip):
+        lo, hi = np.searchsorted(c, [low, low + strip])
+        cells = np.zeros((n + m, strip), np.float32)
+        cells[i[lo:hi], c[lo:hi] - low] = 1
+        counts += cells[:n] @ cells[n:].T
+    sparse = ~dense & (work[at] > 0)
+    x = np.flatnonzero(sparse & (owner < n))
+    y = np.flatnonzero(sparse & (owner >= n))
+    y = y[np.argsort(at[y], kind="stable")]
+    begins = np.searchsorted(at[y], at[x])
+    reach = on_right[at[x]]
+    pick = np.repeat(begins - (np.cumsum(reach) - reach), reach) + np.arange(reach.sum())
+    key = np.repeat(owner[x], reach) * m + (owner[y][pick] - n)
+    return (counts + np.bincount(key, minlength=n * m).reshape(n, m)).astype(np.int64)
+
+
 def block_links(cut: DataFrame, width: int, percent: int) -> DataFrame:
-    """(gram, i, j, doc_id, label, text) to links: the product of blocks i and j of a column.
+    """(key, i, j, side, doc_id, label, text) to links: the product of blocks i and j of a key.
 
     Rows of a pair of blocks come together; a block has at most BLOCK classes. Only links between
     different labels are returned, and only as many as connect them.
     """
-    together = cut.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "doc_id")
+    together = cut.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "doc_id")
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(width)
 
         def product(rows: list[tuple]) -> list[tuple[int, int]]:
-            ids, labels, sets = [], [], []
-            for doc_id, label, grams in rows:
-                ids.append(doc_id)
-                labels.append(label)
-                sets.append(grams)
-            sizes = np.array([len(s) for s in sets])
-            columns, at = np.unique(np.concatenate(sets), return_inverse=True)
-            # Columns of one length are multiplied together, in strips of bounded size.
-            owner = np.repeat(np.arange(len(sets)), sizes)
-            order = np.argsort(at, kind="stable")
-            owner, at = owner[order], at[order]
-            begins = np.searchsorted(at, np.arange(len(columns) + 1))
-            counts = np.zeros((len(sets), len(sets)), np.int32)
-            width_of = np.diff(begins)
-            for length in np.unique(width_of[width_of > 1]):
-                which = np.flatnonzero(width_of == length)
-                step = max(1, 2_000_000 // (int(length) ** 2))
-                for k in range(0, len(which), step):
-                    rows_of = owner[begins[which[k : k + step], None] + np.arange(length)]
-                    key = rows_of[:, :, None] * len(sets) + rows_of[:, None, :]
-                    counts += np.bincount(key.ravel(), minlength=counts.size).reshape(counts.shape).astype(np.int32)
-            np.fill_diagonal(counts, 0)
-            ok = np.triu(links(counts.astype(np.int64), sizes[:, None], sizes[None, :], percent) & (counts > 0))
+            left = [r for r in rows if r[0] == 0]
+            right = [r for r in rows if r[0] == 1] or left
+            shared = overlaps([r[3] for r in left], [r[3] for r in right])
+            a = np.array([len(r[3]) for r in left])[:, None]
+            b = np.array([len(r[3]) for r in right])[None, :]
             parent: dict = {}
 
             def root(x):
@@ -390,11 +406,11 @@ def block_links(cut: DataFrame, width: int, percent: int) -> DataFrame:
                 return x
 
             found = []
-            for x, y in np.argwhere(ok):
-                a, b = root(labels[x]), root(labels[y])
-                if a != b:
-                    parent[a] = b
-                    found.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+            for x, y in np.argwhere((shared > 0) & links(shared, a, b, percent)):
+                one, other = root(left[x][2]), root(right[y][2])
+                if one != other:
+                    parent[one] = other
+                    found.append((left[x][1], right[y][1]))
             return found
 
         def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -402,48 +418,73 @@ def block_links(cut: DataFrame, width: int, percent: int) -> DataFrame:
                 {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
             )
 
-        key, rows = None, []
-        names = ("gram", "i", "j", "doc_id", "label", "text")
+        pair, rows = None, []
+        names = ("key", "i", "j", "side", "doc_id", "label", "text")
         for batch in batches:
-            for gram, i, j, doc_id, label, text in zip(*(batch.column(c).to_pylist() for c in names)):
-                if (gram, i, j) != key:
+            for key, i, j, side, doc_id, label, text in zip(*(batch.column(c).to_pylist() for c in names)):
+                if (key, i, j) != pair:
                     if rows:
                         yield out(product(rows))
-                    key, rows = (gram, i, j), []
-                rows.append((doc_id, label, shingles.of(text)))
+                    pair, rows = (key, i, j), []
+                rows.append((side, doc_id, label, shingles.of(text)))
         if rows:
             yield out(product(rows))
 
     return together.mapInArrow(multiply, "a long, b long")
 
 
-def blocks_of(long_rows: DataFrame, percent: int) -> DataFrame:
-    """(gram, doc_id, n, label) to (gram, i, j, doc_id, label).
+def product_keys(long_rows: DataFrame) -> DataFrame:
+    """(gram, doc_id, n, label) to (key, doc_id, n, label): the sets that are multiplied together.
 
-    Each column that holds several labels is ordered by size and cut into blocks; each pair of
-    blocks that sizes allow gets the rows of both.
+    Columns that hold one label need nothing more. Columns of much the same documents, as those of
+    many near copies, would repeat the same product: columns that are connected through documents
+    are multiplied as one where that is less work than all of them one by one.
     """
     mixed = (
         long_rows.groupBy("gram")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .agg(
+            F.min("label").alias("low"), F.max("label").alias("high"),
+            F.min("doc_id").alias("head"), F.count("*").alias("length"),
+        )
         .filter("low <> high")
-        .select("gram")
+    )
+    rows = lookup(long_rows, written(mixed.select("gram", "head", "length"), "mixed"), ["gram"])
+    rows = written(rows.filter("head is not null"), "mixed-rows")
+    chained = components(rows.select(F.col("doc_id").alias("a"), F.col("head").alias("b")))
+    chained = written(chained.withColumnsRenamed({"node": "doc_id", "component": "cluster"}), "clusters")
+    rows = written(rows.join(chained, "doc_id"), "clustered-rows")
+    one_by_one = rows.groupBy("cluster").agg(F.sum("length").alias("singly"))
+    sizes = chained.groupBy("cluster").agg(F.count("*").alias("size"))
+    whole = one_by_one.join(sizes, "cluster").select(
+        "cluster", (F.col("size").cast("double") * F.col("size") <= F.col("singly")).alias("whole")
     )
-    rows = lookup(long_rows, written(mixed.withColumn("mixed", F.lit(True)), "mixed"), ["gram"]).filter("mixed")
-    place = F.row_number().over(Window.partitionBy("gram").orderBy("n", "doc_id")) - 1
-    block = F.floor(place / BLOCK).cast("int")
-    rows = written(rows.drop("mixed").withColumn("block", block), "long-rows")
-    spans = rows.groupBy("gram", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    # Blocks are in the order of sizes, so those that a block can link with follow it in a row.
+    rows = lookup(rows, written(whole, "whole"), ["cluster"])
+    key = F.when(F.col("whole"), F.struct(F.lit(0).alias("kind"), F.col("cluster").alias("id"))).otherwise(
+        F.struct(F.lit(1).alias("kind"), F.col("gram").alias("id"))
+    )
+    text_key = F.concat_ws(":", key["kind"].cast("string"), key["id"].cast("string"))
+    return rows.select(text_key.alias("key"), "doc_id", "n", "label").distinct()
+
+
+def blocks_of(keyed: DataFrame, percent: int) -> DataFrame:
+    """(key, doc_id, n, label) to (key, i, j, side, doc_id, label).
+
+    Each key's documents are ordered by size and cut into blocks; each pair of blocks that sizes
+    allow to link gets the rows of both.
+    """
+    place = F.row_number().over(Window.partitionBy("key").orderBy("n", "doc_id")) - 1
+    rows = written(keyed.withColumn("block", F.floor(place / BLOCK).cast("int")), "long-rows")
+    spans = rows.groupBy("key", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     near = (
         spans.alias("x")
-        .join(spans.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("x.block") <= F.col("y.block")))
-        .filter(F.ceil(F.col("y.least") * percent / 100.0 - 1e-9) <= F.col("x.most"))
-        .select(F.col("x.gram").alias("gram"), F.col("x.block").alias("i"), F.col("y.block").alias("j"))
+        .join(spans.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.block") <= F.col("y.block")))
+        .filter(F.col("y.least") * percent <= F.col("x.most") * 100)
+        .select(F.col("x.key").alias("key"), F.col("x.block").alias("i"), F.col("y.block").alias("j"))
     )
     near = written(near, "block-pairs")
     sides = near.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
-    return sides.join(rows, ["gram", "block"]).select("gram", "i", "j", "doc_id", "label")
+    side = F.when(F.col("block") == F.col("i"), 0).otherwise(1)
+    return sides.join(rows, ["key", "block"]).select("key", "i", "j", side.alias("side"), "doc_id", "label")
 
 
 def jaccard_components(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -501,7 +542,7 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH, percent: int =
             joined.withColumnsRenamed({"node": "doc_id", "component": "label"}), "doc_id", "left"
         )
         long_rows = long_rows.select("gram", "doc_id", "n", F.coalesce("label", "doc_id").alias("label"))
-        cut = blocks_of(written(long_rows, "long-labels"), percent)
+        cut = blocks_of(product_keys(written(long_rows, "long-labels")), percent)
         more = block_links(cut.join(texts, "doc_id"), width, percent)
         edges = written(edges.unionByName(more), "all-links")
 
