@@ -9,6 +9,7 @@ from velotrace.llm import (
     jaccard_query,
     mixing_query,
     quality_query,
+    repeats_query,
     toxicity_query,
     url_query,
     warc_query,
@@ -24,6 +25,7 @@ QUERIES = {
         chat_query.op5_chat_formatting,
         warc_query.op6_warc_revisits,
         fingerprint_query.op7_document_fingerprints,
+        repeats_query.op8_suffix_array_dedup,
         quality_query.op9_quality_classifier,
         jaccard_query.op10_ngram_jaccard_join,
     )
