@@ -24,8 +24,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares at least 0.85 of its four-word runs."""
-    return jaccard.one_of_each(docs)
+    """One document of each group that is linked by a similarity of 0.8 of five-word runs."""
+    return jaccard.one_of_each(docs, width=5, percent=80)
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
