@@ -174,3 +174,42 @@ def test_nearest_vertex_on_a_long_route(spark):
         roads.nearest_vertex(asked, plain, "m", Settings(group_rows=100)),
         roads.nearest_vertex(asked, plain, "m"),
     )
+
+
+def test_a_key_that_is_hot_after_a_shuffle_by_it_is_spread(spark):
+    from velotrace.operators.joins import lookup
+
+    rows = spark.range(40_000).selectExpr("id", "0 AS key").repartition(8, "key")
+    table = spark.createDataFrame([(0, "x")], "key int, name string")
+    few = Settings(group_rows=1000, broadcast_rows=0)
+    met = lookup(rows, table, ["key"], few)
+    # Small partitions would be merged again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 40_000 and len(sizes) > 1 and max(sizes) < 30_000
+    assert met.filter("name = 'x'").count() == 40_000
+
+
+def test_a_table_that_repeats_a_key_is_refused(spark):
+    from velotrace.operators.joins import one_per_key
+
+    table = spark.createDataFrame([(1, "a"), (1, "b")], "key int, name string")
+    with pytest.raises(ValueError):
+        one_per_key(table, ["key"], "names")
+    assert one_per_key(table.filter("name = 'a'"), ["key"], "names").count() == 1
+
+
+def test_no_broadcast_above_the_limit(spark):
+    from velotrace.operators.joins import small_side
+
+    rows, table = spark.range(1000), spark.range(100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit, found in ((99, False), (100, True)):
+            plan = rows.join(small_side(table, Settings(broadcast_rows=limit)), "id")
+            assert ("Broadcast" in plan._jdf.queryExecution().executedPlan().toString()) == found
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

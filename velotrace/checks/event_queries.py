@@ -431,6 +431,25 @@ def detection_metrics(spark, d):
     )
 
 
+@query(
+    "detection_metrics_per_device",
+    with_events("@").replace("@", MATCHES + """, c AS (SELECT device_id, sum(tp) AS tp, sum(n) AS n, sum(m) AS m FROM (
+        SELECT CASE WHEN device_id % 4 <> 0 THEN device_id END AS device_id, count(detected_time) AS tp, 0 AS n, count(*) AS m FROM ma GROUP BY 1
+        UNION ALL SELECT CASE WHEN device_id % 4 <> 0 THEN device_id END, 0, count(*), 0 FROM de GROUP BY 1) GROUP BY device_id)
+      SELECT device_id, CAST(tp AS BIGINT) AS true_positives, CAST(n - tp AS BIGINT) AS false_positives,
+        CAST(m - tp AS BIGINT) AS false_negatives FROM c"""),
+)
+def detection_metrics_per_device(spark, d):
+    # A quarter of the devices are one group without a device.
+    known = F.when(F.col("device_id") % 4 != 0, F.col("device_id"))
+    found = detections(spark, d)
+    matches = reports.match_events(truths(spark, d), found, by=["device_id"])
+    scores = reports.detection_metrics(
+        matches.withColumn("device_id", known), found.withColumn("device_id", known), ["device_id"]
+    )
+    return scores.select("device_id", "true_positives", "false_positives", "false_negatives")
+
+
 @query(
     "severity_accuracy",
     with_events("@").replace("@", MATCHES + """SELECT round(avg(abs(detected_severity - severity)), 6) AS mean_absolute_error,

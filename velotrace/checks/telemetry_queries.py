@@ -513,6 +513,21 @@ NEAR = """pl AS (SELECT DISTINCT position_latitude AS lat, position_longitude AS
       FROM telemetry LEFT JOIN hit ON position_latitude = lat AND position_longitude = lon"""),
 )
 def road_snap(spark, d):
+    close = Settings(snap_radius_m=100.0)
+    rows = roads.snap(telemetry(spark, d), roads.road_index(road_points(spark, d), close), close)
+    return rows.select("record_seqnum", "snapped_lat", "snapped_lon", "was_snapped")
+
+
+@query(
+    "road_snap_any_distance",
+    duck_with("""pl AS (SELECT DISTINCT position_latitude AS lat, position_longitude AS lon FROM telemetry
+        WHERE position_latitude <> 0 AND position_longitude <> 0),
+      hit AS (SELECT p.lat, p.lon, min({'m': """ + haversine_sql("p.lat", "p.lon", "r.lat", "r.lon") + """,
+        'lat': r.lat, 'lon': r.lon}) AS best FROM pl p, (SELECT DISTINCT lat, lon FROM road) r GROUP BY p.lat, p.lon)""",
+      """SELECT record_seqnum, best.lat AS snapped_lat, best.lon AS snapped_lon, best IS NOT NULL AS was_snapped
+      FROM telemetry LEFT JOIN hit ON position_latitude = lat AND position_longitude = lon"""),
+)
+def road_snap_any_distance(spark, d):
     rows = roads.snap(telemetry(spark, d), roads.road_index(road_points(spark, d)))
     return rows.select("record_seqnum", "snapped_lat", "snapped_lon", "was_snapped")
 
@@ -522,7 +537,7 @@ def road_snap(spark, d):
     SQL["road_snap"],
 )
 def road_snap_refined_cells(spark, d):
-    fine = Settings(cell_points=4, broadcast_rows=400, group_rows=2000)
+    fine = Settings(cell_points=4, broadcast_rows=400, group_rows=2000, snap_radius_m=100.0)
     rows = roads.snap(telemetry(spark, d), roads.road_index(road_points(spark, d), fine), fine)
     return rows.select("record_seqnum", "snapped_lat", "snapped_lon", "was_snapped")
 
@@ -849,3 +864,81 @@ def live_region_counts(spark, d):
 def live_trips(spark, d):
     found = live.live_trips(live.with_event_time(telemetry(spark, d)), DAY_GAP)
     return found.select("device_id", "points", "started", "ended")
+
+
+@query(
+    "live_trips_without_devices",
+    trips_sql(86400, """SELECT device_id, count(*) AS points, min(timestamp) AS started, max(timestamp) AS ended
+      FROM trips WHERE device_id % 5 <> 0 GROUP BY device_id, trip_id"""),
+)
+def live_trips_without_devices(spark, d):
+    known = F.when(F.col("device_id") % 5 != 0, F.col("device_id"))
+    rows = telemetry(spark, d).withColumn("device_id", known)
+    found = live.live_trips(live.with_event_time(rows), DAY_GAP)
+    return found.select("device_id", "points", "started", "ended")
+
+
+@query(
+    "publish_slices_with_extras",
+    duck(f"""SELECT record_seqnum, "ain.12" FROM
+      (SELECT record_seqnum, {REGION_CASE} AS region, CAST(make_timestamp(timestamp * 1000000) AS DATE) AS day,
+        CASE WHEN {REGION_CASE} = 'wales' THEN NULL ELSE position_speed END AS "ain.12"
+       FROM telemetry) WHERE region IS NOT NULL AND day = DATE '2024-01-15'"""),
+)
+def publish_slices_with_extras(spark, d):
+    path = new_path(spark, "enriched")
+    rows = regions.region_rows(with_day(telemetry(spark, d)))
+    rows = rows.withColumn("ain.12", F.col("position_speed"))
+    rows = rows.withColumns({"snapped_lat": F.col("position_latitude"), "snapped_lon": F.col("position_longitude")})
+    # One region's files lack the channel; they sort last, so their schema must not decide.
+    sinks.write_slices(rows.filter("region <> 'wales'"), path)
+    plain = rows.filter("region = 'wales'").drop("ain.12")
+    sinks.write_slices(plain, path)
+    out = new_path(spark, "published")
+    daily.write_trips(spark, path, date(2024, 1, 15), out)
+    return daily.read_trips(spark, out, date(2024, 1, 15)).select("record_seqnum", "`ain.12`")
+
+
+@query(
+    "pending_slices",
+    duck(f"""SELECT DISTINCT region, strftime(day, '%Y-%m-%d') AS date FROM
+      (SELECT {REGION_CASE} AS region, CAST(make_timestamp(timestamp * 1000000) AS DATE) AS day FROM telemetry)
+      WHERE region IS NOT NULL AND NOT (region = 'wales' AND day < DATE '2024-01-20')"""),
+)
+def pending_slices(spark, d):
+    split, out = new_path(spark, "split"), new_path(spark, "done")
+    rows = regions.region_rows(with_day(telemetry(spark, d)))
+    sinks.write_slices(rows, split)
+    sinks.write_slices(rows.filter("region = 'wales' and date < date'2024-01-20'").select("record_seqnum", "region", "date"), out)
+    return _text_days(daily.pending_slices(spark, split, out).select("region", "date"))
+
+
+@query(
+    "rejected_messages",
+    duck("""SELECT count(*) AS files, count(*) FILTER (n % 3 = 0) AS failed, count(*) FILTER (n % 3 <> 0) AS timestamped,
+      count(*) FILTER (n % 3 = 0) AS stored, sum("ain.12") FILTER (n % 3 <> 0) AS channel FROM
+      (SELECT CAST(make_timestamp(timestamp * 1000000) AS DATE) AS day, count(*) AS n, max(record_seqnum) AS "ain.12"
+       FROM telemetry GROUP BY ALL)"""),
+)
+def rejected_messages(spark, d):
+    # One message file for each day of the table; a third of them are cut off.
+    day = F.date_format("date", "yyyy/MM/dd")
+    by_day = with_day(telemetry(spark, d)).groupBy(day.alias("folder")).agg(
+        F.count("*").alias("n"), F.max("record_seqnum").alias("seq"), F.max("timestamp").alias("at")
+    )
+    whole = F.to_json(F.struct(F.col("seq").alias("ain.12"), F.col("at").alias("timestamp")))
+    text = F.when(F.col("n") % 3 == 0, F.substring(whole, F.lit(1), F.length(whole) - 3)).otherwise(whole)
+    inbox, out, rejects = (new_path(spark, p) for p in ("inbox", "converted", "rejects"))
+    parts = F.split("folder", "/")
+    named = by_day.select(text.alias("value"), *[parts[i].alias(n) for i, n in enumerate(("y", "m", "d"))])
+    named.repartition("y", "m", "d").write.partitionBy("y", "m", "d").option("compression", "none").text(inbox)
+    found = messages.decoded(
+        spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(inbox),
+        ["ain.12"],
+    )
+    found = found.withColumn("source_file", F.regexp_replace("source_file", "/(y|m|d)=", "/"))
+    totals = daily.store_messages(found, out, rejects, ["ain.12"])
+    stored = spark.read.parquet(rejects).agg(F.count("*").alias("stored"))
+    channel = tables.read_csv(spark, out).agg(F.sum("`ain.12`").cast("long").alias("channel"))
+    rows = totals.unionByName(stored, allowMissingColumns=True).unionByName(channel, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in ("files", "failed", "timestamped", "stored", "channel")])

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velotrace.session import written
 from velotrace.settings import Settings
 
 
@@ -23,6 +24,22 @@ def fits(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def small_side(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """With a broadcast hint if the counted rows are few enough, else as it is.
+
+    The rows are counted, so a table that is costly to compute should be written first.
+    """
+    return F.broadcast(df) if fits(df, settings.broadcast_rows) else df
+
+
+def one_per_key(table: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """The table, or an error if a key has several rows, which would multiply what is joined."""
+    repeated = table.groupBy(*keys).count().filter("count > 1").first()
+    if repeated is not None:
+        raise ValueError(f"{what} has several rows for {repeated.asDict()}")
+    return table
+
+
 def restrict(df: DataFrame, keys_table: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Semi or anti join with null-safe keys; ``keys_table`` keeps its broadcast hint, if any."""
     return df.alias("l").join(keys_table.alias("r"), same_keys(keys), how)
@@ -53,13 +70,16 @@ def lookup(
         .filter(F.col("count") > settings.group_rows)
         .select(*keys, F.ceil(F.col("count") / settings.group_rows).cast("int").alias("_spread"))
     )
+    hot = written(hot, "hot-join-keys")
     if hot.isEmpty():
         return joined(rows, table, keys, how)
-    # At most total rows / group_rows keys can be hot.
-    hot = F.broadcast(hot)
-    spread_rows = joined(rows, hot, keys, "left").withColumn(
-        "_salt", F.coalesce(F.expr("pmod(spark_partition_id(), _spread)"), F.lit(0))
-    )
+    hot = small_side(hot, settings)
+    # After a shuffle by the key all its rows share a partition, so the number of the partition
+    # alone would not part them. Exact copies of a row in one partition stay together.
+    spot = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns], F.spark_partition_id())
+    spread_rows = joined(rows.withColumn("_spot", spot), hot, keys, "left").withColumn(
+        "_salt", F.coalesce(F.expr("pmod(_spot, _spread)").cast("int"), F.lit(0))
+    ).drop("_spot")
     spread_table = joined(table, hot, keys, "left").withColumn(
         "_salt", F.explode(F.expr("sequence(0, coalesce(_spread, 1) - 1)"))
     )

@@ -2,7 +2,7 @@
 
 A plain window puts every row of a key in one task. Here the keys are counted first. Keys of at
 most ``group_rows`` rows use the plain window. The rows of larger keys are range-partitioned on
-(key, order) into chunks of about that size, each function is computed inside the chunks, and the
+(key, order) into chunks of about that size (larger ones beyond 20,000 chunks), each function is computed inside the chunks, and the
 state at the start of each chunk is carried over from a table with one row per chunk.
 """
 
@@ -15,13 +15,14 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from velotrace.operators.joins import restrict, same_keys
+from velotrace.operators.joins import restrict, same_keys, small_side
 from velotrace.session import written
 from velotrace.settings import Settings
 
 CHUNK = "_chunk"
 TIE = "_tie"
 ROW = "_row"
+MOST_PIECES = 20_000
 
 
 @dataclass(frozen=True)
@@ -89,8 +90,7 @@ def ordered(
         return Series(rows, keys, columns)
 
     if keys:
-        # One row per key of more than group_rows rows: at most total / group_rows of them.
-        hot_keys = F.broadcast(written(hot.select(*keys), "hot-keys", single_file=True))
+        hot_keys = small_side(written(hot.select(*keys), "hot-keys"), settings)
         hot_rows = restrict(rows, hot_keys, keys, "left_semi")
         cold_rows = restrict(rows, hot_keys, keys, "left_anti")
     else:
@@ -100,7 +100,8 @@ def ordered(
     # can part ways and a repeated task still sees the same numbers.
     numbered = written(hot_rows.withColumn(ROW, F.monotonically_increasing_id()), "hot-rows")
     columns = columns + (ROW,)
-    pieces = 2 * math.ceil(found["rows"] / settings.group_rows)
+    # Chunks grow with the whole beyond a number that one job can handle.
+    pieces = min(2 * math.ceil(found["rows"] / settings.group_rows), MOST_PIECES)
     split = written(
         numbered.repartitionByRange(
             pieces, *[F.col(c).asc_nulls_last() for c in keys + columns]
@@ -241,7 +242,7 @@ def scan(series: Series, **scans: Scan) -> Series:
         *series.parts, *[s.carry(F.col(f"_s_{n}"), series).alias(f"_c_{n}") for n, s in scans.items()]
     )
     # A chunk is a run of the sorted hot rows, so there are at most chunks + hot keys rows here.
-    carried = F.broadcast(written(carried, "carry", single_file=True))
+    carried = small_side(written(carried, "carry"))
 
     def attach(df: DataFrame) -> DataFrame:
         kept = [F.col(f"l.`{c}`") for c in df.columns]

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velotrace.operators.joins import joined, restrict
+from velotrace.operators.joins import joined, restrict, small_side
 from velotrace.session import written
 from velotrace.settings import Settings
 
@@ -43,8 +43,7 @@ def quantiles(
     sizes = df.groupBy(*by).count().filter(F.col("count") > settings.group_rows)
     if sizes.isEmpty():
         return _small(df, columns, probs, by, extra)
-    # At most total rows / group_rows groups are this large.
-    large = F.broadcast(written(sizes.select(*by), "large-groups", single_file=True))
+    large = small_side(written(sizes.select(*by), "large-groups"), settings)
     return _small(
         restrict(df, large, by, "left_anti"), columns, probs, by, extra
     ).unionByName(_large(restrict(df, large, by, "left_semi"), columns, probs, by, extra))
@@ -94,7 +93,7 @@ def _large(df, columns, probs, by, extra) -> DataFrame:
     if not extra:
         return wide
     if by:
-        return joined(df.groupBy(*by).agg(*extra), F.broadcast(wide), by, "left")
+        return joined(df.groupBy(*by).agg(*extra), wide, by, "left")
     row = wide.first()
     return df.agg(*extra).select(
         *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in wide.schema.fields], "*"
@@ -131,12 +130,16 @@ def _narrowed(df, columns, probs, by) -> DataFrame:
         )
     )
     state = _kept(state)
+    # Every table of the search has at most as many rows as this one; those of cuts are long.
+    targets = state.count()
+    small = F.broadcast if targets <= Settings().broadcast_rows else lambda table: table
+    few_cuts = F.broadcast if targets * CUTS <= Settings().broadcast_rows else lambda table: table
     v, low, high = F.col("_v"), F.col("_low"), F.col("_high")
     is_open = F.col("_found").isNull()
     rest, keys = values, group
     while not state.filter(is_open).isEmpty():
         inside = (
-            joined(rest, F.broadcast(state.filter(is_open)), keys, "inner")
+            joined(rest, small(state.filter(is_open)), keys, "inner")
             .filter((low.isNull() | (v > low)) & (high.isNull() | (v < high)))
         )
         cuts = inside.groupBy(*target).agg(
@@ -145,7 +148,7 @@ def _narrowed(df, columns, probs, by) -> DataFrame:
         )
         spot = (F.col("_rank") - F.col("_before")) / F.greatest(F.col("_in") - 1, F.lit(1)) * CUTS
         bounds = _kept(
-            joined(state.filter(is_open), F.broadcast(cuts), target, "inner").select(
+            joined(state.filter(is_open), few_cuts(cuts), target, "inner").select(
                 *target,
                 F.get("_cuts", F.greatest(F.floor(spot).cast("int") - 1, F.lit(0))).alias("_a"),
                 F.get("_cuts", F.least(F.ceil(spot).cast("int") + 1, F.lit(CUTS))).alias("_b"),
@@ -153,7 +156,7 @@ def _narrowed(df, columns, probs, by) -> DataFrame:
         )
         a, b = F.col("_a"), F.col("_b")
         counts = (
-            joined(inside, F.broadcast(bounds), target, "inner")
+            joined(inside, small(bounds), target, "inner")
             .groupBy(*target)
             .agg(
                 F.first("_a").alias("_a"),
@@ -164,11 +167,11 @@ def _narrowed(df, columns, probs, by) -> DataFrame:
                 F.count_if((v == b) & (a < b)).alias("_at_b"),
             )
         )
-        state = _kept(_step(joined(state, F.broadcast(counts), target, "left"), state.columns))
+        state = _kept(_step(joined(state, small(counts), target, "left"), state.columns))
         if keys == group:
             # About a hundredth of the rows can still matter; each is kept under its target.
             rest = written(
-                joined(values, F.broadcast(state.filter(is_open)), group, "inner")
+                joined(values, small(state.filter(is_open)), group, "inner")
                 .filter((low.isNull() | (v > low)) & (high.isNull() | (v < high)))
                 .select(*target, "_v"),
                 "quantile-rest",
@@ -177,7 +180,7 @@ def _narrowed(df, columns, probs, by) -> DataFrame:
 
     value = F.col("_found")
     after = (
-        joined(values, F.broadcast(state), group, "inner")
+        joined(values, small(state), group, "inner")
         .groupBy(*target)
         .agg(
             F.count_if(v <= value).alias("_upto"),
@@ -186,7 +189,7 @@ def _narrowed(df, columns, probs, by) -> DataFrame:
     )
     upper = F.when(F.col("_rank") + 1 < F.col("_upto"), value).otherwise(F.col("_next"))
     weight = F.col("_at") - F.col("_rank")
-    return joined(state, F.broadcast(after), target, "inner").withColumn(
+    return joined(state, small(after), target, "inner").withColumn(
         "_result",
         F.when(weight == 0, value).otherwise(
             (F.col("_rank") + 1 - F.col("_at")) * value + weight * upper
@@ -196,7 +199,7 @@ def _narrowed(df, columns, probs, by) -> DataFrame:
 
 def _kept(state: DataFrame) -> DataFrame:
     """Search state has one row per large group, column and label."""
-    return written(state, "quantile-state", single_file=True)
+    return written(state, "quantile-state")
 
 
 def _step(state: DataFrame, columns: Sequence[str]) -> DataFrame:

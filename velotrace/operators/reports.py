@@ -17,7 +17,7 @@ from velotrace.operators.events import (
     is_active,
     settle,
 )
-from velotrace.operators.joins import lookup
+from velotrace.operators.joins import lookup, one_per_key
 from velotrace.operators.ordered import (
     first_after,
     ordered,
@@ -190,13 +190,14 @@ def detection_metrics(
         F.count("*").alias("truths"), F.count("detected_time").alias("true_positives")
     )
     found = detected.groupBy(*by).agg(F.count("*").alias("detections"))
-    if by:
-        both = hits.join(found, by, "full")
-    else:
-        both = attach(hits, settle(found, ()), ())
-    tp, n, m = (
-        F.coalesce(F.col(c), F.lit(0)) for c in ("true_positives", "detections", "truths")
-    )
+    # Grouping keeps null groups together, as a join on the group would not.
+    counts = ("true_positives", "detections", "truths")
+    both = (
+        hits.unionByName(found, allowMissingColumns=True)
+        .groupBy(*by)
+        .agg(*[F.sum(c).alias(c) for c in counts])
+    )
+    tp, n, m = (F.coalesce(F.col(c), F.lit(0)) for c in counts)
     precision, recall = _ratio(tp, n), _ratio(tp, m)
     return both.select(
         *by,
@@ -451,7 +452,10 @@ def weather_parameters(
     hour = F.floor(F.col("timestamp") / 3600).cast("long")
     found = lookup(
         rows.withColumn("hour", hour),
-        weather.select("region", F.col("hour").cast("long").alias("hour"), "precipitation"),
+        one_per_key(
+            weather.select("region", F.col("hour").cast("long").alias("hour"), "precipitation"),
+            ["region", "hour"], "weather",
+        ),
         ["region", "hour"],
         settings,
     )
@@ -474,7 +478,10 @@ def traffic_severity(
     hour = F.floor(F.col("timestamp") / 3600).cast("long")
     found = lookup(
         events.withColumn("hour", hour),
-        traffic.select("region", F.col("hour").cast("long").alias("hour"), "density"),
+        one_per_key(
+            traffic.select("region", F.col("hour").cast("long").alias("hour"), "density"),
+            ["region", "hour"], "traffic",
+        ),
         ["region", "hour"],
         settings,
     )

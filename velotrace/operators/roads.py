@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from math import pi
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velotrace.functions.geo import haversine, kmh_to_ms, point_key
+from velotrace.functions.geo import EARTH_RADIUS_M, haversine, kmh_to_ms, point_key
 from velotrace.operators.clean import LAT, LON, can_snap
 from velotrace.operators.joins import lookup
 from velotrace.operators.ordered import (
@@ -29,17 +32,52 @@ from velotrace.settings import Settings
 ROUTE = ["from_key", "to_key"]
 
 
-def road_index(road_points: DataFrame, settings: Settings = Settings()) -> PlaceIndex:
-    return index_places(road_points.select("lat", "lon"), settings.snap_radius_m, (), settings)
+FIRST_RADIUS_M = 100.0
+
+
+@dataclass(frozen=True)
+class Roads:
+    """Road points with an index for the first search; wider searches index them anew."""
+
+    points: DataFrame
+    index: PlaceIndex
+    limit_m: float | None
+    settings: Settings
+
+
+def road_index(road_points: DataFrame, settings: Settings = Settings()) -> Roads:
+    points = road_points.select("lat", "lon")
+    radius = FIRST_RADIUS_M if settings.snap_radius_m is None else settings.snap_radius_m
+    return Roads(points, index_places(points, radius, (), settings), settings.snap_radius_m, settings)
+
+
+def nearest_roads(places: DataFrame, roads: Roads) -> DataFrame:
+    """The nearest road point of each place, as ``nearest`` gives it.
+
+    Without a limit, places that find none are searched again in a circle eight times as wide,
+    until all have one or the circle is the globe.
+    """
+    found = written(nearest(places, roads.index), "snapped")
+    if roads.limit_m is not None or roads.points.isEmpty():
+        return found
+    parts, radius = [found], roads.index.grid.radius_m
+    places = places.filter("lat is not null and lon is not null")
+    while True:
+        places = written(places.join(found, ["lat", "lon"], "left_anti"), "unsnapped")
+        if places.isEmpty() or radius > pi * EARTH_RADIUS_M:
+            return reduce(DataFrame.unionByName, parts)
+        radius = radius * 8
+        found = written(nearest(places, index_places(roads.points, radius, (), roads.settings)), "snapped")
+        parts.append(found)
 
 
 def snap(
-    df: DataFrame, roads: PlaceIndex | None, settings: Settings = Settings()
+    df: DataFrame, roads: Roads | None, settings: Settings = Settings()
 ) -> DataFrame:
     """Fill ``snapped_lat``, ``snapped_lon`` and ``was_snapped`` on rows with valid coordinates.
 
-    A row takes the nearest road point within the radius, or keeps its own coordinates. Each
-    distinct pair of coordinates is matched once.
+    A row takes the nearest road point, within the radius if there is one, or else keeps its own
+    coordinates. Each distinct pair of coordinates is matched once.
     """
     valid = can_snap()
     df = df.drop("snapped_lat", "snapped_lon", "was_snapped")
@@ -52,8 +90,7 @@ def snap(
             }
         )
     places = df.filter(valid).select(F.col(LAT).alias("lat"), F.col(LON).alias("lon")).distinct()
-    found = written(nearest(places, roads), "snapped")
-    found = found.select(
+    found = nearest_roads(places, roads).select(
         F.col("lat").alias(LAT), F.col("lon").alias(LON), "near_lat", "near_lon"
     )
     hit = F.col("near_lat").isNotNull()
@@ -239,7 +276,7 @@ def interpolate_gaps(
     df: DataFrame,
     settings: Settings = Settings(),
     routes: DataFrame | None = None,
-    roads: PlaceIndex | None = None,
+    roads: Roads | None = None,
     within: Sequence[str] = (),
     sizes: DataFrame | None = None,
 ) -> DataFrame:
@@ -278,7 +315,7 @@ def interpolate_gaps(
 
 
 def interpolate_lines(
-    series: Series, settings: Settings = Settings(), roads: PlaceIndex | None = None
+    series: Series, settings: Settings = Settings(), roads: Roads | None = None
 ) -> Series:
     """``interpolate_gaps`` along straight lines, on the rows of each device."""
     last = settings.line_points - 1
@@ -302,7 +339,7 @@ _GAP_HELPERS = [
 
 
 def _snapped_vertices(
-    rows: DataFrame, roads: PlaceIndex | None, settings: Settings
+    rows: DataFrame, roads: Roads | None, settings: Settings
 ) -> Callable[[DataFrame], DataFrame]:
     """How to put rows on their vertices: as they are, or on the nearest road."""
     if roads is None:
@@ -310,7 +347,7 @@ def _snapped_vertices(
     vertices = rows.filter(F.col("vertex_lat").isNotNull()).select(
         F.col("vertex_lat").alias("lat"), F.col("vertex_lon").alias("lon")
     )
-    found = written(nearest(vertices.distinct(), roads), "snapped-vertices").select(
+    found = written(nearest_roads(vertices.distinct(), roads), "snapped-vertices").select(
         F.col("lat").alias("vertex_lat"),
         F.col("lon").alias("vertex_lon"),
         "near_lat",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velotrace.functions.geo import haversine, ms_to_kmh, point_key
-from velotrace.operators.joins import lookup
+from velotrace.operators.joins import lookup, one_per_key
 from velotrace.operators.ordered import (
     Series,
     ordered,
@@ -105,7 +105,9 @@ def measure(
         # Rows without a pair share a null key, which the lookup spreads like any hot key.
         rows = lookup(
             rows,
-            road_distances.select("from_key", "to_key", "total_m"),
+            one_per_key(
+                road_distances.select("from_key", "to_key", "total_m"), ["from_key", "to_key"], "road_distances"
+            ),
             ["from_key", "to_key"],
             settings,
         )

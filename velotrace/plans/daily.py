@@ -8,8 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velotrace.operators import clean, events, publish, regions, roads, trips
-from velotrace.operators.manifest import pending_rows
+from velotrace.operators import clean, events, manifest, publish, regions, roads, trips
 from velotrace.operators.ordered import key_sizes, ordered
 from velotrace.schemas import DEVICE, TIME_ORDER
 from velotrace.session import written
@@ -55,10 +54,37 @@ def enrich(
     )
 
 
-def convert_messages(spark: SparkSession, root: str, out: str, day: date | None = None) -> None:
-    """Message files to telemetry in dated folders."""
-    found = message_source.read_messages(spark, root, day)
-    sinks.write_days(message_source.to_telemetry(found), out)
+def convert_messages(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    day: date | None = None,
+    rejects: str | None = None,
+    extra_fields: Sequence[str] = (),
+) -> DataFrame:
+    """Message files to telemetry in dated folders; returns how many were read and rejected.
+
+    Files that cannot be decoded are written to the folder ``rejects``, with their text, if it is
+    given.
+    """
+    found = message_source.read_messages(spark, root, day, extra_fields)
+    return store_messages(found, out, rejects, extra_fields)
+
+
+def store_messages(
+    messages: DataFrame, out: str, rejects: str | None = None, extra_fields: Sequence[str] = ()
+) -> DataFrame:
+    """Decoded messages to telemetry in dated folders, as ``convert_messages`` says."""
+    found = written(messages, "messages")
+    sinks.write_days(message_source.to_telemetry(found, extra_fields=extra_fields), out)
+    if rejects is not None:
+        message_source.rejected(found).write.mode("overwrite").parquet(rejects)
+    return message_source.conversion_totals(found)
+
+
+def converted_day(spark: SparkSession, converted: str, day: date) -> DataFrame:
+    """The telemetry that ``convert_messages`` wrote for a day."""
+    return tables.read_day_folder(spark, converted, day, "csv")
 
 
 def split_day(df: DataFrame, day: date, out: str) -> None:
@@ -76,24 +102,48 @@ def enrich_slices(
     day: date | None = None,
     **road_tables: DataFrame,
 ) -> None:
-    """Enrich the slices that have no output yet."""
-    rows = tables.read_slices(spark, split, day=day)
-    try:
-        done = tables.read_slices(spark, out).select("region", "date").distinct()
-    except tables.AnalysisException:
-        done = spark.createDataFrame([], "region string, date date")
-    if not force:
-        done = written(done, "done-slices")
-        rows = pending_rows(rows, done, settings)
-    sinks.write_slices(enrich(rows, settings, within=SLICE, **road_tables), out)
+    """Enrich the slices that have no output yet; other slices are listed, not read."""
+    asked = pending_slices(spark, split, out, force)
+    if day is not None:
+        asked = asked.filter(F.col("date") == F.lit(day))
+    # One row per region and day.
+    todo = [(r.region, r.date) for r in asked.orderBy("date", "region").collect()]
+    if todo:
+        rows = tables.read_listed(spark, split, todo)
+        sinks.write_slices(enrich(rows, settings, within=SLICE, **road_tables), out)
+
+
+def pending_slices(spark: SparkSession, split: str, out: str, force: bool = False) -> DataFrame:
+    """(region, date) of the slices that have input and, unless forced, no output."""
+
+    def listed(root: str, stage: str) -> DataFrame:
+        return manifest.manifest(tables.list_files(spark, root, "*.parquet"), stage)
+
+    inputs = listed(split, "split").select("region", "date").distinct()
+    return inputs if force else manifest.unprocessed_slices(inputs, listed(out, "enriched"))
 
 
 def publish_day(spark: SparkSession, enriched: str, day: date) -> DataFrame:
-    """The daily trips table: all regions, final columns, in row order."""
+    """The daily trips table: all regions, final columns with those that any region has, in row order."""
     rows = tables.read_slices(spark, enriched, day=day).drop("date")
     return publish.publish(rows.withColumnRenamed("region", "source_region"))
 
 
+def write_trips(
+    spark: SparkSession, enriched: str, day: date, out: str, force: bool = False
+) -> bool:
+    """Publish a day to its folder below ``out`` unless it is there; tells whether it wrote."""
+    if not force and day in tables.days_in(spark, out):
+        return False
+    sinks.write_day(publish_day(spark, enriched, day), out, day)
+    return True
+
+
+def read_trips(spark: SparkSession, published: str, day: date) -> DataFrame:
+    """A published day."""
+    return tables.read_day_folder(spark, published, day)
+
+
 def detect_day(
     daily_trips: DataFrame, day: date, out: str, settings: Settings = Settings()
 ) -> None:

@@ -48,14 +48,11 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def written(df: DataFrame, label: str, single_file: bool = False) -> DataFrame:
-    """The rows of ``df``, read back from a Parquet table in the shared folder.
-
-    ``single_file`` is for tables whose size is already known to be small.
-    """
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows of ``df``, read back from a Parquet table in the shared folder."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    (df.coalesce(1) if single_file else df).write.parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

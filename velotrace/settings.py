@@ -19,7 +19,8 @@ class Settings:
     min_active_rows: int = 10
 
     # Road matching
-    snap_radius_m: float = 100.0
+    # How far a road point may be; None takes the nearest one however far it is.
+    snap_radius_m: float | None = None
     line_points: int = 11
 
     # Scale: the most rows of one key that a single task may hold, the most rows that may be

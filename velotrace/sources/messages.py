@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,27 +22,30 @@ FILES = {"wholetext": True, "pathGlobFilter": "*.json", "recursiveFileLookup": T
 DECODE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
-def decoded(files: DataFrame) -> DataFrame:
+def decoded(files: DataFrame, extra_fields: Sequence[str] = ()) -> DataFrame:
     """Messages from whole files in ``value``; text that is no object is kept in ``_corrupt``."""
+    extra = [T.StructField(name, T.StringType()) for name in extra_fields]
     parsed = files.select(
         "value",
-        F.from_json("value", TEXT_SCHEMA, DECODE).alias("_m"),
+        F.from_json("value", T.StructType(TEXT_SCHEMA.fields + extra), DECODE).alias("_m"),
         F.col("_metadata.file_path").alias("source_file"),
     )
     whole = F.when(F.col("_m").isNull(), F.col("value")).otherwise(F.col("_m")[CORRUPT])
     return parsed.select(
-        *[F.col("_m").getField(name).alias(name) for name, _ in MESSAGE_FIELDS],
+        *[F.col("_m").getField(name).alias(name) for name in [n for n, _ in MESSAGE_FIELDS] + list(extra_fields)],
         whole.alias(CORRUPT),
         "source_file",
     )
 
 
-def read_messages(spark: SparkSession, root: str, day: date | None = None) -> DataFrame:
+def read_messages(
+    spark: SparkSession, root: str, day: date | None = None, extra_fields: Sequence[str] = ()
+) -> DataFrame:
     """Messages below a folder with their ``source_file``, of one day if given.
 
     A file outside a folder of at least year, month and day is kept whatever the day.
     """
-    messages = decoded(spark.read.options(**FILES).text(root))
+    messages = decoded(spark.read.options(**FILES).text(root), extra_fields)
     if day is None:
         return messages
     return messages.filter(on_day(F.col("source_file"), root, day))
@@ -58,9 +62,14 @@ def _escaped(text: str) -> str:
     return "\\Q" + text + "\\E"
 
 
-def to_telemetry(messages: DataFrame, date_policy: str = "path") -> DataFrame:
+def to_telemetry(
+    messages: DataFrame, date_policy: str = "path", extra_fields: Sequence[str] = ()
+) -> DataFrame:
     """The 22 telemetry columns and ``date``; missing keys are null, other keys dropped.
 
+    ``extra_fields`` that the messages were read with, such as accelerometer channels, follow as
+    numbers under their own names.
+
     ``date`` is the day in the path, or today for ``date_policy="now"`` and for paths without a
     day. Undecodable files are left out.
     """
@@ -71,6 +80,7 @@ def to_telemetry(messages: DataFrame, date_policy: str = "path") -> DataFrame:
             as_type(F.col(f"`{name}`"), kind).alias(name.replace(".", "_"))
             for name, kind in MESSAGE_FIELDS
         ],
+        *[as_type(F.col(f"`{name}`"), T.DoubleType()).alias(name) for name in extra_fields],
         day.alias("date"),
     )
 

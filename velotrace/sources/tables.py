@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from velotrace.functions.values import as_type
 from velotrace.operators.publish import union_by_position
-from velotrace.schemas import ACCEL_CHANNELS, MANIFEST_SCHEMA, TELEMETRY_SCHEMA
+from velotrace.schemas import ACCEL_CHANNELS, TELEMETRY_SCHEMA
 
 KNOWN_TYPES = {f.name: f.dataType for f in TELEMETRY_SCHEMA} | {
     "snapped_lat": T.DoubleType(),
@@ -71,17 +71,22 @@ def read_slices(
     day: date | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """A table in ``region=``/``date=`` folders; only the folders asked for are read.
+    """A table in ``region=``/``date=`` folders; only the folders asked for are listed and read.
 
-    With a ``schema``, a folder that does not exist gives an empty table.
+    Columns are those of all files read, with null where a file lacks one. Without a ``schema`` a
+    root that does not exist is an error; with one, it gives an empty table. Slices that do not
+    exist give no rows.
     """
-    try:
-        reader = spark.read.schema(schema) if schema else spark.read
-        df = reader.parquet(root)
-    except AnalysisException:
-        if schema is None:
-            raise
+    root = root.rstrip("/")
+    if schema is not None and not exists(spark, root):
         return spark.createDataFrame([], schema)
+    reader = spark.read.option("basePath", root)
+    reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
+    path = root
+    if region is not None or day is not None:
+        asked = f"{root}/region={'*' if region is None else region}/date={'*' if day is None else day}"
+        path = asked if exists(spark, asked) else root
+    df = reader.parquet(path)
     if region is not None:
         df = df.filter(F.col("region") == region)
     if day is not None:
@@ -89,6 +94,41 @@ def read_slices(
     return df
 
 
+def read_listed(spark: SparkSession, root: str, slices: Sequence[tuple[str, date]]) -> DataFrame:
+    """The given (region, day) slices, with the columns of all of them."""
+    root = root.rstrip("/")
+    paths = [f"{root}/region={region}/date={day}" for region, day in slices]
+    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(*paths)
+
+
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches, in whatever file system it names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
+    return found is not None and len(found) > 0
+
+
+def read_day_folder(spark: SparkSession, root: str, day: date, kind: str = "parquet") -> DataFrame:
+    """One day of a table in ``year=``/``month=``/``day=`` folders, such as published trips.
+
+    A missing day is an error that names the days there are.
+    """
+    folder = f"{root.rstrip('/')}/year={day:%Y}/month={day:%m}/day={day:%d}"
+    if not exists(spark, folder):
+        raise FileNotFoundError(f"no {day} below {root}; there are {', '.join(map(str, days_in(spark, root))) or 'no days'}")
+    if kind == "csv":
+        return read_csv(spark, folder)
+    return spark.read.option("mergeSchema", True).format(kind).load(folder)
+
+
+def days_in(spark: SparkSession, root: str) -> list[date]:
+    """The days of ``year=``/``month=``/``day=`` folders, in order; one entry per day."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/year=*/month=*/day=*")
+    found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
+    parts = [str(s.getPath()).rsplit("/", 3)[1:] for s in found or []]
+    return sorted(date(*(int(p.split("=")[1]) for p in day)) for day in parts)
+
+
 def list_files(
     spark: SparkSession, root: str, pattern: str = "*", max_files: int | None = None
 ) -> DataFrame:
@@ -102,8 +142,4 @@ def list_files(
     listed = files.select(
         "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")
     )
-    return listed if max_files is None else listed.limit(max_files)
-
-
-def empty_manifest(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return listed if max_files is None else listed.orderBy("path").limit(max_files)

@@ -50,10 +50,15 @@ def daily_event_counts(events: DataFrame, late: str = "1 day") -> DataFrame:
 def live_trips(
     rows: DataFrame, settings: Settings = Settings(), late: str = "1 hour"
 ) -> DataFrame:
-    """Trips as sessions of a device that end after the trip gap."""
+    """Trips as sessions of a device that end after the trip gap.
+
+    Rows without a device belong to no trip, as in the batch rule; rows without a time cannot be
+    placed in a session and are left out too.
+    """
     gap = f"{int(settings.trip_gap_s)} seconds"
     return (
-        rows.withWatermark("event_time", late)
+        rows.filter(F.col(DEVICE).isNotNull())
+        .withWatermark("event_time", late)
         .groupBy(F.session_window("event_time", gap).alias("session"), DEVICE)
         .agg(
             F.count("*").alias("points"),
