@@ -14,7 +14,8 @@ kept. The order puts n-grams that many documents hold last.
    Classes that already link through pivots and pairs need no other link, so only columns that
    still hold different components are cut into blocks by size, and each pair of blocks whose sizes
    allow a link is multiplied whole in one task, which returns links and no other pairs.
-4. Pairs are verified with both whole sets, and links become components.
+4. Pairs that may link by the low bits of all their n-grams, which bound the overlap from above,
+   are verified with both whole sets, and links become components.
 
 Sets are of 64-bit hashes. Nothing is capped: the list of frequent n-grams is bounded, and changes
 the order of columns but not the links.
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,8 +44,12 @@ from velotrace.session import written
 WIDTH, PERCENT = 4, 85
 #: Entries of a column that are paired where they meet; longer columns are cut into blocks.
 SMALL = 64
+#: One more entry is kept for each this many n-grams of a set.
+SPARE = 20
 #: Classes in a block of the product.
 BLOCK = 256
+#: Share of a mixed cluster's documents whose sizes are near enough to link, for estimates only.
+NEAR_SIZES = 0.3
 #: Frequent n-grams: counters per task, listed n-grams, and the count from which one is listed.
 COUNTERS, LISTED, FREQUENT = 1 << 16, 1 << 17, 64
 
@@ -71,8 +77,11 @@ class Shingles:
         self.ids, self.table = _Hashes(), np.zeros(0, np.uint64)
 
     def of(self, text: str | None) -> np.ndarray:
+        return self.of_bytes((text or "").encode("utf-8", "surrogatepass"))
+
+    def of_bytes(self, text: bytes) -> np.ndarray:
         # Splitting and lower-casing bytes touches ASCII only, as the word rule wants.
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+        words = text.lower().split()
         if not words:
             return np.zeros(0, np.uint64)
         if len(self.ids) > self.keep:
@@ -104,8 +113,8 @@ def needed(size, percent: int):
 
 
 def spare(size):
-    """How many common entries, beyond one, the kept entries must show: more for larger sets."""
-    return size // 40
+    """Entries that are kept beyond those that show one common entry: pairs must share more."""
+    return size // SPARE
 
 
 def links(both, a, b, percent: int):
@@ -327,19 +336,82 @@ def short_and_long(rows: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def keyed(low: np.ndarray) -> np.ndarray:
+    """Sorted 16-bit values as distinct numbers: each value with the count of its equals before."""
+    first = np.r_[True, low[1:] != low[:-1]]
+    at = np.arange(len(low))
+    return (low.astype(np.int64) << 32) | (at - np.maximum.accumulate(np.where(first, at, 0)))
+
+
+def sketches(documents: DataFrame, width: int) -> DataFrame:
+    """(doc_id, n, low): the low 16 bits of each n-gram of a set, sorted. Sets share at most as many
+    n-grams as these share values, which hardly ever is many more."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = Shingles(width)
+        for batch in batches:
+            n, low = [], []
+            for text in batch.column("text").to_pylist():
+                grams = shingles.of(text)
+                n.append(len(grams))
+                low.append(np.sort(grams.astype(np.uint16)).tobytes())
+            yield _batch(
+                {"doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int32()), "low": pa.array(low, pa.binary())}
+            )
+
+    return documents.mapInArrow(read, "doc_id long, n int, low binary")
+
+
+def possible(pairs: DataFrame, low: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of doc_ids that may link by their sketches."""
+    second = pairs.join(low.withColumnsRenamed({"doc_id": "b", "n": "nb", "low": "low_b"}), "b")
+    both = second.join(low.withColumnRenamed("doc_id", "a"), "a").select("a", "b", "n", "low", "nb", "low_b")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, mine = None, None
+        for batch in batches:
+            kept = []
+            for a, n, own, m, other in zip(*(batch.column(c).to_pylist() for c in ("a", "n", "low", "nb", "low_b"))):
+                if (a, own) != last:
+                    last, mine = (a, own), keyed(np.frombuffer(own, np.uint16))
+                theirs = keyed(np.frombuffer(other, np.uint16))
+                shared = len(np.intersect1d(mine, theirs, assume_unique=True))
+                kept.append(bool(shared) and links(shared, n, m, percent))
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return both.mapInArrow(check, "a long, b long")
+
+
+def packed_texts(texts: DataFrame) -> DataFrame:
+    """(doc_id, packed): texts in compressed form, for shuffling."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            raw = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
+            packed = pa.array([squeeze.compress(r) for r in raw], pa.binary())
+            yield _batch({"doc_id": batch.column("doc_id"), "packed": packed})
+
+    return texts.mapInArrow(pack, "doc_id long, packed binary")
+
+
+def unpacked(packed: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of doc_ids whose whole sets link."""
-    second = pairs.join(texts.withColumnRenamed("doc_id", "b"), "b").withColumnRenamed("text", "text_b")
-    both = second.join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "b", "text", "text_b")
+    second = pairs.join(texts.withColumnsRenamed({"doc_id": "b", "packed": "packed_b"}), "b")
+    both = second.join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "b", "packed", "packed_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, last, mine = Shingles(width), None, None
         for batch in batches:
             kept = []
-            for a, text, other in zip(*(batch.column(c).to_pylist() for c in ("a", "text", "text_b"))):
-                if (a, text) != last:
-                    last, mine = (a, text), shingles.of(text)
-                grams = shingles.of(other)
+            for a, own, other in zip(*(batch.column(c).to_pylist() for c in ("a", "packed", "packed_b"))):
+                if (a, own) != last:
+                    last, mine = (a, own), shingles.of_bytes(unpacked(own))
+                grams = shingles.of_bytes(unpacked(other))
                 shared = len(np.intersect1d(mine, grams, assume_unique=True))
                 kept.append(bool(shared) and links(shared, len(mine), len(grams), percent))
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
@@ -382,7 +454,7 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def block_links(cut: DataFrame, width: int, percent: int) -> DataFrame:
-    """(key, i, j, side, doc_id, label, text) to links: the product of blocks i and j of a key.
+    """(key, i, j, side, doc_id, label, packed) to links: the product of blocks i and j of a key.
 
     Rows of a pair of blocks come together; a block has at most BLOCK classes. Only links between
     different labels are returned, and only as many as connect them.
@@ -419,14 +491,14 @@ def block_links(cut: DataFrame, width: int, percent: int) -> DataFrame:
             )
 
         pair, rows = None, []
-        names = ("key", "i", "j", "side", "doc_id", "label", "text")
+        names = ("key", "i", "j", "side", "doc_id", "label", "packed")
         for batch in batches:
-            for key, i, j, side, doc_id, label, text in zip(*(batch.column(c).to_pylist() for c in names)):
+            for key, i, j, side, doc_id, label, packed in zip(*(batch.column(c).to_pylist() for c in names)):
                 if (key, i, j) != pair:
                     if rows:
                         yield out(product(rows))
                     pair, rows = (key, i, j), []
-                rows.append((side, doc_id, label, shingles.of(text)))
+                rows.append((side, doc_id, label, shingles.of_bytes(unpacked(packed))))
         if rows:
             yield out(product(rows))
 
@@ -453,10 +525,13 @@ def product_keys(long_rows: DataFrame) -> DataFrame:
     chained = components(rows.select(F.col("doc_id").alias("a"), F.col("head").alias("b")))
     chained = written(chained.withColumnsRenamed({"node": "doc_id", "component": "cluster"}), "clusters")
     rows = written(rows.join(chained, "doc_id"), "clustered-rows")
-    one_by_one = rows.groupBy("cluster").agg(F.sum("length").alias("singly"))
+    # Work is counted in rows that meet: each document once for each block it may link with.
+    per_row = 1 + F.col("length") / F.lit(2.0 * BLOCK)
+    one_by_one = rows.groupBy("cluster").agg(F.sum(per_row).alias("singly"))
     sizes = chained.groupBy("cluster").agg(F.count("*").alias("size"))
+    together = F.col("size") * (1 + F.col("size") * NEAR_SIZES / F.lit(2.0 * BLOCK))
     whole = one_by_one.join(sizes, "cluster").select(
-        "cluster", (F.col("size").cast("double") * F.col("size") <= F.col("singly")).alias("whole")
+        "cluster", (together <= F.col("singly")).alias("whole")
     )
     rows = lookup(rows, written(whole, "whole"), ["cluster"])
     key = F.when(F.col("whole"), F.struct(F.lit(0).alias("kind"), F.col("cluster").alias("id"))).otherwise(
@@ -512,9 +587,14 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH, percent: int =
     counted = counted.join(uncounted.withColumnsRenamed({"class": "a", "long": "long_a"}), "a", "left").join(
         uncounted.withColumnsRenamed({"class": "b", "long": "long_b"}), "b", "left"
     )
+    # Of what two sets must share, each may have as many outside its kept entries as were not kept;
+    # the set whose entries end first in the order decides, so the weaker bound holds.
+    needed_of = lambda c: F.ceil(F.col(c) * percent / 100.0 - 1e-9)
+    outside = lambda c: needed_of(c) - 1 - F.floor(F.col(c) / SPARE)
+    both_need = F.ceil((F.col("na") + F.col("nb")) * percent / (100.0 + percent) - 1e-9)
     at_least = (
-        F.least(F.expr("na div 40"), F.expr("nb div 40"))
-        + 1
+        both_need
+        - F.greatest(outside("na"), outside("nb"))
         - F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0)))
     )
     pairs = counted.filter(F.col("shared") >= at_least).select("a", "b")
@@ -534,7 +614,16 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH, percent: int =
         .select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"))
         .filter("a <> b")
     )
-    edges = written(verified(written(asked, "pairs"), texts, width, percent), "links")
+    asked = written(possible(written(asked, "pairs"), sketches(texts, width), percent), "possible")
+
+    # Texts that are still needed, as pairs or as rows of long columns, are shuffled once.
+    wanted = (
+        asked.select(F.explode(F.array("a", "b")).alias("doc_id"))
+        .unionByName(long_entries.join(ids, "class").select("doc_id"))
+        .distinct()
+    )
+    texts = written(packed_texts(texts).join(written(wanted, "wanted"), "doc_id", "left_semi"), "texts")
+    edges = written(verified(asked, texts, width, percent), "links")
 
     if not long_entries.isEmpty():
         joined = written(components(edges), "first-components")
