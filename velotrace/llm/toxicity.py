@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -74,12 +74,20 @@ class Words:
     first: np.ndarray
 
     @staticmethod
-    def of(words: list[str]) -> "Words":
+    def of(words: list[str], at_a_time: int = 20_000) -> "Words":
+        if len(words) > at_a_time:
+            parts = [Words.of(words[i : i + at_a_time]) for i in range(0, len(words), at_a_time)]
+            sizes = np.concatenate([p.sizes() for p in parts])
+            return Words(
+                np.concatenate([p.bucket for p in parts]),
+                np.concatenate([p.grams for p in parts]),
+                np.concatenate([[0], np.cumsum(sizes)])[:-1].astype(np.int64),
+            )
         found = [word_inputs(w) for w in words]
         sizes = [len(g) for _, g in found]
         return Words(
-            np.array([b for b, _ in found], dtype=np.int64),
-            np.array([g for _, gs in found for g in gs], dtype=np.int64),
+            np.array([b for b, _ in found], dtype=np.int32),
+            np.array([g for _, gs in found for g in gs], dtype=np.int32),
             np.concatenate([[0], np.cumsum(sizes)])[:-1].astype(np.int64),
         )
 
@@ -248,7 +256,7 @@ class Model:
 
 
 def _padded(windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.zeros((len(windows), WIDTH), np.int64)
+    ids = np.zeros((len(windows), WIDTH), np.int32)
     mask = np.zeros((len(windows), WIDTH), np.float32)
     for i, w in enumerate(windows):
         ids[i, : len(w)] = w
@@ -257,7 +265,7 @@ def _padded(windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(
-    windows: list[list[str]],
+    windows: Iterable[list[str]],
     document: np.ndarray,
     label: np.ndarray,
     epochs: int = 14,
@@ -274,12 +282,9 @@ def train(
     if share in (0.0, 1.0) or not len(label):
         clipped = min(max(share, 1e-3), 1 - 1e-3) if len(label) else 0.5
         return Model(None, 0.0, float(np.log(clipped / (1 - clipped))))
-    vocabulary: dict[str, int] = {}
-    for w in windows:
-        for token in w:
-            vocabulary.setdefault(token, len(vocabulary))
+    vocabulary = _Ids()
+    ids, mask = _padded([np.array([vocabulary[t] for t in w], dtype=np.int32) for w in windows])
     words = Words.of(list(vocabulary))
-    ids, mask = _padded([np.array([vocabulary[t] for t in w], dtype=np.int64) for w in windows])
 
     rng = np.random.default_rng(seed)
     weights = new_weights(rng)
@@ -290,9 +295,12 @@ def train(
     positive, negative = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
 
     def logits(which: np.ndarray) -> np.ndarray:
-        projected = project(weights, embed(weights, words))
-        parts = np.array_split(which, max(1, len(which) // 1024))
-        return np.concatenate([window_logits(weights, projected, ids[p], mask[p]) for p in parts])
+        found = []
+        for part in np.array_split(which, max(1, len(which) // 512)):
+            used, local = np.unique(ids[part], return_inverse=True)
+            projected = project(weights, embed(weights, words.take(used)))
+            found.append(window_logits(weights, projected, local.reshape(len(part), WIDTH), mask[part]))
+        return np.concatenate(found)
 
     toxic_windows = np.flatnonzero(label[document] == 1)
     n_others = max(4 * len(positive), 500)
@@ -301,7 +309,7 @@ def train(
     step = 0
     for epoch in range(epochs):
         if epoch:
-            best = np.full(len(windows), -np.inf)
+            best = np.full(len(document), -np.inf)
             best[toxic_windows] = logits(toxic_windows)
             picked = np.array([first[d] + int(np.argmax(best[first[d] : first[d] + count[d]])) for d in positive])
         else:
@@ -417,7 +425,7 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1,
     found = found.drop_duplicates().sort_values(["doc_id", "words"], kind="stable").reset_index(drop=True)
     document = found["doc_id"].rank(method="dense").to_numpy(dtype=np.int64) - 1
     label = found.groupby("doc_id")["label"].max().to_numpy(dtype=np.float32)
-    model = train([w.split(" ") if w else [] for w in found["words"]], document, label)
+    model = train((w.split(" ") if w else [] for w in found["words"]), document, label)
     if model.weights is None:
         return model
 
