@@ -20,7 +20,6 @@ share of ones, or 0.5 without any. Other columns are ignored.
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -54,15 +53,9 @@ def starts(n: int) -> list[int]:
     return [*range(0, n - WIDTH, STRIDE), n - WIDTH]
 
 
-def word_inputs(word: str) -> tuple[int, list[int]]:
-    """The bucket of a word and those of its character n-grams of 3 to 5."""
-    core = word.strip(_EDGES) or word
-    framed = f"<{core}>"
-    grams = [framed[i : i + n] for n in (3, 4, 5) for i in range(len(framed) - n + 1)] or [framed]
-    return (
-        zlib.crc32(core.encode("utf-8", "surrogatepass")) % WORD_BUCKETS,
-        [zlib.crc32(g.encode("utf-8", "surrogatepass")) % GRAM_BUCKETS for g in grams],
-    )
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(32))
 
 
 @dataclass
@@ -75,20 +68,36 @@ class Words:
 
     @staticmethod
     def of(words: list[str], at_a_time: int = 20_000) -> "Words":
+        """Words without the marks around them, and their character n-grams of 3 to 5 with the
+        word's ends, many hashed at once."""
         if len(words) > at_a_time:
             parts = [Words.of(words[i : i + at_a_time]) for i in range(0, len(words), at_a_time)]
             sizes = np.concatenate([p.sizes() for p in parts])
             return Words(
                 np.concatenate([p.bucket for p in parts]),
                 np.concatenate([p.grams for p in parts]),
-                np.concatenate([[0], np.cumsum(sizes)])[:-1].astype(np.int64),
+                np.cumsum(sizes) - sizes,
             )
-        found = [word_inputs(w) for w in words]
-        sizes = [len(g) for _, g in found]
+        framed = [f"<{w.strip(_EDGES) or w}>" for w in words]
+        codes = np.frombuffer("".join(framed).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        lengths = np.array([len(f) for f in framed], dtype=np.int64)
+        begins = np.cumsum(lengths) - lengths
+        owner = np.repeat(np.arange(len(words)), lengths)
+        place = np.arange(len(codes)) - begins[owner]
+        powers = np.multiply.accumulate(np.full(int(lengths.max(initial=0)) + 1, 0x100000001B3, np.uint64))
+        whole = np.add.reduceat(codes * powers[place], begins) if len(words) else codes
+        owners, grams = [], []
+        for n in (3, 4, 5):
+            at = np.flatnonzero(place + n <= lengths[owner])
+            hashed = sum(codes[at + k] * powers[k] for k in range(n)) + np.uint64(n)
+            owners.append(owner[at])
+            grams.append((_mixed(hashed) % np.uint64(GRAM_BUCKETS)).astype(np.int32))
+        order = np.argsort(np.concatenate(owners), kind="stable")
+        sizes = np.bincount(np.concatenate(owners), minlength=len(words))
         return Words(
-            np.array([b for b, _ in found], dtype=np.int32),
-            np.array([g for _, gs in found for g in gs], dtype=np.int32),
-            np.concatenate([[0], np.cumsum(sizes)])[:-1].astype(np.int64),
+            (_mixed(whole) % np.uint64(WORD_BUCKETS)).astype(np.int32),
+            np.concatenate(grams)[order],
+            np.cumsum(sizes) - sizes,
         )
 
     def sizes(self) -> np.ndarray:
