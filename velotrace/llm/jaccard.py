@@ -158,27 +158,33 @@ def _batch(columns: dict) -> pa.RecordBatch:
 
 
 def sets_and_counts(documents: DataFrame, width: int) -> DataFrame:
-    """Rows (doc_id, n, high, low) of documents, and (value, count) of frequent n-grams."""
+    """Rows (doc_id, n, high, low, bits) of documents, and (value, count) of frequent n-grams.
+
+    ``bits`` are the low 16 bits of each n-gram of the set, sorted. Sets share at most as many
+    n-grams as these share values, which hardly ever is many more.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, frequent = Shingles(width), Frequent()
 
-        def out(ids, n, high, low, values, counts) -> pa.RecordBatch:
+        def out(ids, n, high, low, bits, values, counts) -> pa.RecordBatch:
             return _batch(
                 {
                     "doc_id": pa.array(ids, pa.int64()),
                     "n": pa.array(n, pa.int64()),
                     "high": pa.array(high, pa.int64()),
                     "low": pa.array(low, pa.int64()),
+                    "bits": pa.array(bits, pa.binary()),
                     "value": pa.array(values, pa.int64()),
                     "count": pa.array(counts, pa.int64()),
                 }
             )
 
         for batch in batches:
-            n, high, low = [], [], []
+            n, high, low, bits = [], [], [], []
             for text in batch.column("text").to_pylist():
                 grams = shingles.of(text)
+                bits.append(np.sort(grams.astype(np.uint16)).tobytes())
                 a, b = digest(grams)
                 n.append(len(grams))
                 high.append(a)
@@ -186,15 +192,17 @@ def sets_and_counts(documents: DataFrame, width: int) -> DataFrame:
                 # Only n-grams near the head of the order need a count.
                 frequent.add(grams[: np.searchsorted(grams, np.uint64(1 << 62))])
             none = [None] * len(n)
-            yield out(batch.column("doc_id"), n, high, low, none, none)
+            yield out(batch.column("doc_id"), n, high, low, bits, none, none)
         frequent.settle()
         often = frequent.counts > 1
         values, none = frequent.values[often].view(np.int64), [None] * int(often.sum())
-        yield out(none, none, none, none, values, frequent.counts[often])
+        yield out(none, none, none, none, none, values, frequent.counts[often])
 
     rows = documents.select(F.col("doc_id").cast("long"), "text")
     return written(
-        rows.mapInArrow(read, "doc_id long, n long, high long, low long, value long, count long"),
+        rows.mapInArrow(
+            read, "doc_id long, n long, high long, low long, bits binary, value long, count long"
+        ),
         "shingle-sets",
     )
 
@@ -343,35 +351,16 @@ def keyed(low: np.ndarray) -> np.ndarray:
     return (low.astype(np.int64) << 32) | (at - np.maximum.accumulate(np.where(first, at, 0)))
 
 
-def sketches(documents: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, low): the low 16 bits of each n-gram of a set, sorted. Sets share at most as many
-    n-grams as these share values, which hardly ever is many more."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(width)
-        for batch in batches:
-            n, low = [], []
-            for text in batch.column("text").to_pylist():
-                grams = shingles.of(text)
-                n.append(len(grams))
-                low.append(np.sort(grams.astype(np.uint16)).tobytes())
-            yield _batch(
-                {"doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int32()), "low": pa.array(low, pa.binary())}
-            )
-
-    return documents.mapInArrow(read, "doc_id long, n int, low binary")
-
-
-def possible(pairs: DataFrame, low: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of doc_ids that may link by their sketches."""
-    second = pairs.join(low.withColumnsRenamed({"doc_id": "b", "n": "nb", "low": "low_b"}), "b")
-    both = second.join(low.withColumnRenamed("doc_id", "a"), "a").select("a", "b", "n", "low", "nb", "low_b")
+def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of doc_ids that may link by the bits (doc_id, n, bits) of their sets."""
+    second = pairs.join(sketches.withColumnsRenamed({"doc_id": "b", "n": "nb", "bits": "bits_b"}), "b")
+    both = second.join(sketches.withColumnRenamed("doc_id", "a"), "a").select("a", "b", "n", "bits", "nb", "bits_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, mine = None, None
         for batch in batches:
             kept = []
-            for a, n, own, m, other in zip(*(batch.column(c).to_pylist() for c in ("a", "n", "low", "nb", "low_b"))):
+            for a, n, own, m, other in zip(*(batch.column(c).to_pylist() for c in ("a", "n", "bits", "nb", "bits_b"))):
                 if (a, own) != last:
                     last, mine = (a, own), keyed(np.frombuffer(own, np.uint16))
                 theirs = keyed(np.frombuffer(other, np.uint16))
@@ -567,6 +556,7 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH, percent: int =
     seen = sets_and_counts(documents, width)
     listed, level = column_order(seen.filter("value is not null"))
     members = seen.filter("value is null").select("doc_id", "n", "high", "low")
+    sketches = seen.filter("doc_id is not null").select("doc_id", "n", "bits")
     # One document stands for each class.
     classes = written(
         members.filter("n > 0").groupBy("high", "low").agg(F.min("doc_id").alias("first")), "classes"
@@ -614,7 +604,7 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH, percent: int =
         .select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"))
         .filter("a <> b")
     )
-    asked = written(possible(written(asked, "pairs"), sketches(texts, width), percent), "possible")
+    asked = written(possible(written(asked, "pairs"), sketches, percent), "possible")
 
     # Texts that are still needed, as pairs or as rows of long columns, are shuffled once.
     wanted = (
