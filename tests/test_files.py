@@ -197,3 +197,27 @@ def test_shared_folder(spark):
         session.shared_folder(Unset("yarn"))
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or session.shared_folder(spark) == named.rstrip("/")
+
+
+def test_a_published_day_is_read_back_and_not_written_twice(spark, inbox, tmp_path):
+    from velotrace import session
+
+    converted, split, enriched, out = (str(tmp_path / n) for n in ("csv", "split", "enriched", "trips"))
+    totals = daily.convert_messages(spark, inbox, converted, DAY, str(tmp_path / "bad"), ["ain.12"]).first()
+    assert totals.failed == spark.read.parquet(str(tmp_path / "bad")).count() > 0
+    rows = daily.converted_day(spark, converted, DAY)
+    assert "ain.12" in rows.columns and rows.count() == 5
+    daily.split_day(rows, DAY, split)
+    before = len(session._written.get(spark.sparkContext.applicationId, []))
+    daily.enrich_slices(spark, split, enriched)
+    assert daily.write_trips(spark, enriched, DAY, out)
+    assert not daily.write_trips(spark, enriched, DAY, out)
+    assert daily.write_trips(spark, enriched, DAY, out, force=True)
+    trips = daily.read_trips(spark, out, DAY)
+    daily.detect_day(trips, DAY, str(tmp_path / "events"))
+    # What the plans wrote on the way is gone, but for the listing of slices.
+    assert len(session._written.get(spark.sparkContext.applicationId, [])) <= before + 2
+    assert trips.count() == rows.count() and "ain.12" in trips.columns
+    with pytest.raises(FileNotFoundError, match=str(DAY)):
+        daily.read_trips(spark, out, date(2031, 1, 1))
+    assert daily.pending_slices(spark, split, enriched).count() == 0

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from velotrace.operators import clean, events, manifest, publish, regions, roads, trips
 from velotrace.operators.ordered import key_sizes, ordered
 from velotrace.schemas import DEVICE, TIME_ORDER
-from velotrace.session import written
+from velotrace.session import scratch, written
 from velotrace.settings import Settings
 from velotrace.sources import messages as message_source
 from velotrace.sources import sinks, tables
@@ -109,8 +109,9 @@ def enrich_slices(
     # One row per region and day.
     todo = [(r.region, r.date) for r in asked.orderBy("date", "region").collect()]
     if todo:
-        rows = tables.read_listed(spark, split, todo)
-        sinks.write_slices(enrich(rows, settings, within=SLICE, **road_tables), out)
+        with scratch(spark):
+            rows = tables.read_listed(spark, split, todo)
+            sinks.write_slices(enrich(rows, settings, within=SLICE, **road_tables), out)
 
 
 def pending_slices(spark: SparkSession, split: str, out: str, force: bool = False) -> DataFrame:
@@ -135,7 +136,8 @@ def write_trips(
     """Publish a day to its folder below ``out`` unless it is there; tells whether it wrote."""
     if not force and day in tables.days_in(spark, out):
         return False
-    sinks.write_day(publish_day(spark, enriched, day), out, day)
+    with scratch(spark):
+        sinks.write_day(publish_day(spark, enriched, day), out, day)
     return True
 
 
@@ -148,4 +150,5 @@ def detect_day(
     daily_trips: DataFrame, day: date, out: str, settings: Settings = Settings()
 ) -> None:
     """The day's events; a day without any still gets an empty table."""
-    sinks.write_day(events.abnormal_events(daily_trips, settings), out, day)
+    with scratch(daily_trips.sparkSession):
+        sinks.write_day(events.abnormal_events(daily_trips, settings), out, day)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,10 +58,25 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_written(spark: SparkSession) -> None:
-    """Delete the intermediate tables this session wrote; results built on them end here."""
-    jvm = spark.sparkContext._jvm
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _written.pop(spark.sparkContext.applicationId, []):
-        target = jvm.org.apache.hadoop.fs.Path(path)
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Delete the intermediate tables this session wrote; results built on them end here."""
+    _delete(spark, _written.pop(spark.sparkContext.applicationId, []))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the intermediate tables that were written inside."""
+    paths = _written.setdefault(spark.sparkContext.applicationId, [])
+    before = len(paths)
+    try:
+        yield
+    finally:
+        _delete(spark, paths[before:])
+        del paths[before:]
