@@ -51,10 +51,10 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows of ``df``, read back from a Parquet table in the shared folder."""
+    """The rows of ``df``, read back from a compressed Parquet table in the shared folder."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
