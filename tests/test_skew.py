@@ -183,12 +183,18 @@ def test_a_key_that_is_hot_after_a_shuffle_by_it_is_spread(spark):
     table = spark.createDataFrame([(0, "x")], "key int, name string")
     few = Settings(group_rows=1000, broadcast_rows=0)
     met = lookup(rows, table, ["key"], few)
-    # Small partitions would be merged again.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    # Small partitions would be merged again, and the small table broadcast after all.
+    options = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for name, value in options.items():
+        spark.conf.set(name, value)
     try:
         sizes = [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for name in options:
+            spark.conf.unset(name)
     assert sum(sizes) == 40_000 and len(sizes) > 1 and max(sizes) < 30_000
     assert met.filter("name = 'x'").count() == 40_000
 
