@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from velotrace.llm import suffixes
 from velotrace.operators.joins import lookup
 from velotrace.session import written
+from velotrace.settings import Settings
 
 LENGTH, GRAM = 200, 32
 #: Bytes of segments that are sorted at a time, and that an anchor may have before it is split.
@@ -421,7 +422,8 @@ def cleaned(documents: DataFrame, anchor_bytes: int = ANCHOR_BYTES) -> DataFrame
     text = F.coalesce("text", F.lit(""))
     keys = {"_text_id": F.xxhash64(text), "_size": F.octet_length(text).cast("long")}
     table = changed.withColumnsRenamed({"text_id": "_text_id", "size": "_size", "kept": "_kept"})
-    met = lookup(documents.withColumns(keys), table, list(keys))
+    # Texts are too large to broadcast by their number, and so are spread in smaller groups.
+    met = lookup(documents.withColumns(keys), table, list(keys), Settings(group_rows=10_000), small=False)
     new = {"text": F.coalesce("_kept", "text")}
     if "n_chars" in documents.columns:
         length = F.length("_kept").cast(documents.schema["n_chars"].dataType)
