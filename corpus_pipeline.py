@@ -34,8 +34,8 @@ def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
-    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that contain no benchmark item, edited or not."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"), edited=True)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

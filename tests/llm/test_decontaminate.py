@@ -4,8 +4,10 @@ import math
 import random
 from collections import Counter
 
+import corpus_pipeline
 from tests.llm.fixtures import DOCUMENTS, ODD_TEXTS, documents, words
 from velotrace.llm import decontaminate as d
+from velotrace.llm import decontaminate_query
 
 ITEM = "item_id long, text string"
 
@@ -112,3 +114,50 @@ def test_no_items_and_no_documents(frame, spark):
     empty = spark.createDataFrame([], DOCUMENTS)
     assert d.leaks(empty, frame(ITEM, (1, "a b c d e f"))).collect() == []
     assert d.leaks(table, frame(ITEM, (1, "a b c d e f"))).first().item_id == 1
+
+
+def plain_edits(own, text):
+    """Row by row, without bit vectors."""
+    row = [0] * (len(text) + 1)
+    for x in own:
+        new = [row[0] + 1]
+        for j, y in enumerate(text):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def test_edits():
+    rng = random.Random(5)
+    for _ in range(300):
+        own, text = words(rng, rng.randrange(1, 80), 6), words(rng, rng.randrange(0, 90), 6)
+        assert d.edits(own, text) == plain_edits(own, text)
+
+
+def test_edited_copies_are_found(frame, spark, tmp_path):
+    items, rows = tables(frame)
+    table, bench = documents(frame, rows), frame(ITEM, *items)
+    found = {(r.doc_id, r.item_id) for r in d.leaks(table, bench, edited=True).collect()}
+    assert {(r.doc_id, r.item_id) for r in d.leaks(table, bench).collect()} < found
+    assert {(1000 + k, k) for k in range(30) if k % 3 == 2} <= found
+    # Nothing else: halves that are not there, and texts without items.
+    assert not any(i < 1000 or i < 2000 and (i - 1000) % 3 == 1 for i, _ in found if i is not None)
+    assert (2001, 100) not in found
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = decontaminate_query.op4_benchmark_decontamination(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == found
+    kept = {r.doc_id for r in corpus_pipeline.decontamination_stage(spark, table, str(tmp_path)).collect()}
+    assert kept == {i for i, _ in rows} - {i for i, _ in found}
+
+
+def test_any_single_edit_is_found():
+    rng = random.Random(6)
+    items = [(n, " ".join(words(rng, n, 300))) for n in (5, 6, 7, 8, 9, 10, 15, 30, 64, 65, 70, 129)]
+    index = d.Index(items, edited=True)
+    for n, text in items:
+        own = text.split()
+        for at in range(n):
+            for copy in (own[:at] + ["new"] + own[at + 1 :], own[:at] + own[at + 1 :], own[:at] + ["new"] + own[at:]):
+                before, after = words(rng, rng.randrange(0, 150), 300), words(rng, rng.randrange(0, 150), 300)
+                assert n in {hit[0] for hit in index.leaks(" ".join(before + copy + after))}, (n, at, copy)

@@ -8,6 +8,10 @@ block-max WAND, which retrieves every part whose score reaches its threshold: a
 that the part's own words would have. A retrieved item counts as leaked if enough of the runs of
 five words of its first half, the question, and of its second half, the answer, are in the text.
 
+One changed word breaks up to five runs. With ``edited``, as the queries have it, a half also counts
+by its words in order: those that its best alignment with the text around the retrieved passages
+keeps. An item with any one word changed, added or left out is then found, beside all that runs find.
+
 The index is read on the driver and sent to the tasks. Its size is checked: larger sets of items
 are split by item, and the texts pass each split's index in turn.
 
@@ -51,10 +55,35 @@ def runs(words: list[str]) -> list[tuple[str, ...]]:
     return list(zip(*(words[i:] for i in range(RUN))))
 
 
+def edits(words: list[str], text: list[str]) -> int:
+    """The fewest words to change, add or leave out to have ``words`` in a row in the text."""
+    # Myers' bit vectors: bit i of up and down tells how the count changes at word i.
+    places: dict[str, int] = {}
+    for i, w in enumerate(words):
+        places[w] = places.get(w, 0) | 1 << i
+    every, last = (1 << len(words)) - 1, 1 << len(words) - 1
+    up, down = every, 0
+    now = best = len(words)
+    for w in text:
+        same = places.get(w, 0)
+        level = (((same & up) + up) ^ up) | same
+        right = down | every & ~(level | up)
+        left = up & level
+        now += bool(right & last) - bool(left & last)
+        best = min(best, now)
+        right <<= 1
+        up, down = every & (left << 1 | ~(same | down | right)), right & (same | down)
+    return best
+
+
 class Index:
     """Parts of items in blocks, postings by term, and block maxima, as flat arrays."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], score_share: float = SCORE_SHARE):
+    def __init__(
+        self, items: list[tuple[int | None, str | None]], score_share: float = SCORE_SHARE, edited: bool = False
+    ):
+        self.edited = edited
+        self.words: list[list[str]] = []
         self.items: list[tuple[int | None, int, int]] = []  # id, question runs, answer runs
         self.part_item: list[int] = []
         self.question: list[set] = []
@@ -68,6 +97,7 @@ class Index:
             half = math.ceil(len(words) / 2)
             question, answer = set(found[:half]), set(found[half:])
             self.items.append((item_id, len(question), len(answer)))
+            self.words.append(words)
             for at in range(0, len(words), PART):
                 parts.append(words[at : at + PART])
                 # Runs belong to the part they start in; a window holds the words that follow.
@@ -84,13 +114,18 @@ class Index:
         mean = sum(map(len, parts)) / max(1, self.size)
         idf = {t: math.log(1 + (self.size - n + 0.5) / (n + 0.5)) for t, n in df.items()}
         lists: list[list[tuple[int, float]]] = [[] for _ in self.term]
-        full = np.zeros(self.size)
+        full, most = np.zeros(self.size), np.zeros(self.size)
         for number, part in enumerate(parts):
             for t, tf in Counter(part).items():
                 w = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(part) / mean))
                 lists[self.term[t]].append((number, w))
                 full[number] += w
+                most[number] = max(most[number], w)
         self.threshold = full * score_share
+        if edited:
+            # One word less still retrieves an item of one part; of a longer item another part is whole.
+            alone = np.array([len(self.words[i]) <= PART for i in self.part_item], dtype=bool)
+            self.threshold = np.where(alone, np.minimum(self.threshold, full - most), self.threshold)
         self.lowest = float(self.threshold.min()) if self.size else 0.0
         self.block_threshold = np.full(self.blocks, np.inf)
         np.minimum.at(self.block_threshold, np.arange(self.size) // BLOCK, self.threshold)
@@ -179,6 +214,7 @@ class Index:
         get = self.term.get
         ids = np.array([get(w, -1) for w in words], dtype=np.int64)
         best: dict[int, tuple[float, set, set]] = {}
+        seen: dict[int, list[int]] = {}
         for window, terms in self.promising(ids):
             hits = self.retrieve(terms)
             if not hits:
@@ -193,6 +229,7 @@ class Index:
                     old[1] | (self.question[part] & mine),
                     old[2] | (self.answer[part] & mine),
                 )
+                seen.setdefault(self.part_item[part], []).append(at)
         by_item: dict[int, list[tuple[float, set, set]]] = {}
         for part, hit in best.items():
             by_item.setdefault(self.part_item[part], []).append(hit)
@@ -201,23 +238,45 @@ class Index:
             item_id, n_question, n_answer = self.items[item]
             question = len(set().union(*(h[1] for h in hits))) / max(1, n_question)
             answer = len(set().union(*(h[2] for h in hits))) / n_answer if n_answer else question
-            if question >= overlap and answer >= overlap:
+            found = question >= overlap and answer >= overlap
+            if self.edited and not found:
+                in_order = self.in_order(item, words, seen[item])
+                question, answer = max(question, in_order[0]), max(answer, in_order[1])
+                found = (question >= overlap and answer >= overlap) or in_order[2]
+            if found:
                 out.append((item_id, sum(h[0] for h in hits), question, answer))
         return sorted(out, key=lambda x: (x[0] is None, x[0] or 0))
 
 
-def indexes(benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> Iterator[Index]:
+    def in_order(self, item: int, words: list[str], windows: list[int]) -> tuple[float, float, bool]:
+        """Shares of the words of question and answer that stand in order around the windows, and
+        whether the whole item stands there with one edit at most."""
+        own = self.words[item]
+        half, near = math.ceil(len(own) / 2), len(own) + RUN
+        spans: list[list[int]] = []
+        for at in sorted(windows):
+            low, high = max(0, at - near), at + 2 * PART + near
+            if spans and low <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], high)
+            else:
+                spans.append([low, high])
+        texts = [words[low:high] for low, high in spans]
+        question, answer, whole = (min(edits(x, t) for t in texts) for x in (own[:half], own[half:], own))
+        return 1 - question / half, 1 - answer / (len(own) - half), whole <= 1
+
+
+def indexes(benchmark: DataFrame, index_bytes: int = INDEX_BYTES, *, edited: bool = False) -> Iterator[Index]:
     """One index, or several of about ``index_bytes`` bytes of item texts each."""
     items = benchmark.select("item_id", "text").filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     splits = max(1, math.ceil(total / index_bytes))
     for k in range(splits):
         mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(splits)) == k) if splits > 1 else items
-        yield Index([tuple(row) for row in mine.collect()])
+        yield Index([tuple(row) for row in mine.collect()], edited=edited)
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row for each item that a document contains; see HIT_SCHEMA."""
+def leaks(documents: DataFrame, benchmark: DataFrame, edited: bool = False) -> DataFrame:
+    """One row for each item that a document contains, with ``edited`` also if edited; see HIT_SCHEMA."""
 
     def found_by(index: Index) -> DataFrame:
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,14 +294,14 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(find, HIT_SCHEMA)
 
     result = None
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, edited=edited):
         found = found_by(index)
         result = found if result is None else result.unionByName(found)
     return result
 
 
-def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents, as they are, that contain no item."""
+def without_leaks(documents: DataFrame, benchmark: DataFrame, edited: bool = False) -> DataFrame:
+    """The documents, as they are, that contain no item, with ``edited`` no edited one either."""
 
     def kept_by(rows: DataFrame, index: Index) -> DataFrame:
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,6 +311,6 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return rows.mapInArrow(keep, rows.schema)
 
-    for index in indexes(benchmark):
+    for index in indexes(benchmark, edited=edited):
         documents = kept_by(documents, index)
     return documents

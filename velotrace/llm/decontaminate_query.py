@@ -9,4 +9,4 @@ from velotrace.llm.common import table
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), edited=True)
