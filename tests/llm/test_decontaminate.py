@@ -161,3 +161,21 @@ def test_any_single_edit_is_found():
             for copy in (own[:at] + ["new"] + own[at + 1 :], own[:at] + own[at + 1 :], own[:at] + ["new"] + own[at:]):
                 before, after = words(rng, rng.randrange(0, 150), 300), words(rng, rng.randrange(0, 150), 300)
                 assert n in {hit[0] for hit in index.leaks(" ".join(before + copy + after))}, (n, at, copy)
+
+
+def test_any_number_of_indexes_gives_equal_rows(frame, monkeypatch):
+    items, rows = tables(frame)
+    bench = frame(ITEM, *items)
+    # Partial items, whose scores are not those of the items' own words.
+    rows = rows + [(5000 + k, " ".join(items[k][1].split()[: -1 - k % 3])) for k in range(40)]
+    table = documents(frame, rows, extra=True)
+
+    def results():
+        found = [d.leaks(table, bench, edited=x).collect() for x in (False, True)]
+        return [sorted(map(str, x)) for x in (*found, d.without_leaks(table, bench, edited=True).collect())]
+
+    one = results()
+    for size, least in ((3000, 2), (1200, 6)):
+        monkeypatch.setattr(d.indexes, "__defaults__", (size,))
+        assert len(list(d.indexes(bench))) >= least
+        assert results() == one

@@ -13,7 +13,8 @@ by its words in order: those that its best alignment with the text around the re
 keeps. An item with any one word changed, added or left out is then found, beside all that runs find.
 
 The index is read on the driver and sent to the tasks. Its size is checked: larger sets of items
-are split by item, and the texts pass each split's index in turn.
+are split by item, and the texts pass each split's index in turn, one index at a time. Weights come
+from counts over all items, so the number of splits changes no row.
 
 Defined results: null texts and texts without words contain nothing; items with a null text or
 fewer than five words say too little and are left out; an item that repeats is found under each of
@@ -27,12 +28,17 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velotrace.operators.joins import small_side
+from velotrace.session import written
+
 #: Words of an index part, and of a run that question and answer must share with a text.
 PART, RUN = 64, 5
 #: Parts in a block of the index.
@@ -44,6 +50,7 @@ INDEX_BYTES = 8 << 20
 K1, B = 1.2, 0.75
 
 _TOKEN = re.compile(r"\w+")
+COUNT_SCHEMA = "split int, term string, parts long, words long"
 HIT_SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
 
@@ -76,13 +83,31 @@ def edits(words: list[str], text: list[str]) -> int:
     return best
 
 
+def in_parts(words: list[str]) -> list[list[str]]:
+    """The parts of an item; none if it says too little."""
+    return [words[at : at + PART] for at in range(0, len(words), PART)] if len(words) >= RUN else []
+
+
+class Counts(NamedTuple):
+    """Counts over all items: parts, their words, and the parts that hold a term."""
+
+    parts: int
+    words: int
+    holding: dict[str, int]
+
+
 class Index:
     """Parts of items in blocks, postings by term, and block maxima, as flat arrays."""
 
     def __init__(
-        self, items: list[tuple[int | None, str | None]], score_share: float = SCORE_SHARE, edited: bool = False
+        self,
+        items: list[tuple[int | None, str | None]],
+        score_share: float = SCORE_SHARE,
+        edited: bool = False,
+        counts: Counts | None = None,
     ):
-        self.edited = edited
+        """counts: those over all items, if these are not all."""
+        self.edited, self.split = edited, counts is not None
         self.words: list[list[str]] = []
         self.items: list[tuple[int | None, int, int]] = []  # id, question runs, answer runs
         self.part_item: list[int] = []
@@ -98,8 +123,8 @@ class Index:
             question, answer = set(found[:half]), set(found[half:])
             self.items.append((item_id, len(question), len(answer)))
             self.words.append(words)
-            for at in range(0, len(words), PART):
-                parts.append(words[at : at + PART])
+            for at, part in zip(range(0, len(words), PART), in_parts(words)):
+                parts.append(part)
                 # Runs belong to the part they start in; a window holds the words that follow.
                 mine = found[at : at + PART]
                 cut = max(0, half - at)
@@ -111,8 +136,9 @@ class Index:
         self.blocks = -(-self.size // BLOCK)
         df = Counter(t for p in parts for t in set(p))
         self.term = {t: i for i, t in enumerate(sorted(df))}
-        mean = sum(map(len, parts)) / max(1, self.size)
-        idf = {t: math.log(1 + (self.size - n + 0.5) / (n + 0.5)) for t, n in df.items()}
+        counts = counts or Counts(self.size, sum(map(len, parts)), df)
+        mean = counts.words / max(1, counts.parts)
+        idf = {t: math.log(1 + (counts.parts - n + 0.5) / (n + 0.5)) for t, n in counts.holding.items()}
         lists: list[list[tuple[int, float]]] = [[] for _ in self.term]
         full, most = np.zeros(self.size), np.zeros(self.size)
         for number, part in enumerate(parts):
@@ -193,7 +219,8 @@ class Index:
                 # No part up to the end of the block, or to the next list's part, can reach it.
                 after = min([(block + 1) * BLOCK, *(c[0] for c in cursors if c[0] > pivot)])
             elif cursors[0][0] == pivot:
-                score = sum(self.weight[t][i] for _, i, t in upto)
+                # Exact, as the order of the terms depends on the split.
+                score = math.fsum(self.weight[t][i] for _, i, t in upto)
                 if score >= self.threshold[pivot] - 1e-9:
                     found.append((pivot, score))
                 after = pivot + 1
@@ -266,13 +293,43 @@ class Index:
 
 
 def indexes(benchmark: DataFrame, index_bytes: int = INDEX_BYTES, *, edited: bool = False) -> Iterator[Index]:
-    """One index, or several of about ``index_bytes`` bytes of item texts each."""
-    items = benchmark.select("item_id", "text").filter("text is not null")
+    """One index, or several of about ``index_bytes`` bytes of item texts each, built when asked for."""
+    items = benchmark.select(F.col("item_id").cast("long"), "text").filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    splits = max(1, math.ceil(total / index_bytes))
+    splits = math.ceil(total / index_bytes)
+    if splits <= 1:
+        yield Index([tuple(row) for row in items.collect()], edited=edited)
+        return
+
+    split = F.pmod(F.xxhash64("item_id", "text"), F.lit(splits)).cast("int")
+    items = written(items.select(split.alias("split"), "item_id", "text"), "benchmark-items")
+    counted = items.select("split", "text").mapInArrow(_count, COUNT_SCHEMA)
+    counted = counted.groupBy("split", "term").agg(F.sum("parts").alias("parts"), F.sum("words").alias("words"))
+    counted = written(counted, "benchmark-counts")
+    parts, words = counted.filter("term is null").agg(F.sum("parts"), F.sum("words")).first()
+    holding = counted.filter("term is not null").groupBy("term").agg(F.sum("parts").alias("parts"))
+    holding = written(counted.select("split", "term").join(holding, "term"), "benchmark-terms")
     for k in range(splits):
-        mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(splits)) == k) if splits > 1 else items
-        yield Index([tuple(row) for row in mine.collect()], edited=edited)
+        mine = holding.filter(F.col("split") == k).select("term", "parts")
+        counts = Counts(parts or 0, words or 0, dict(tuple(row) for row in mine.collect()))
+        rows = items.filter(F.col("split") == k).select("item_id", "text")
+        yield Index([tuple(row) for row in rows.collect()], edited=edited, counts=counts)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each split the parts that hold a term, and under a null term the parts and their words."""
+    for batch in batches:
+        holding: Counter = Counter()
+        length: Counter = Counter()
+        for split, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for part in in_parts(tokens(text)):
+                holding.update((split, t) for t in (None, *set(part)))
+                length[split] += len(part)
+        rows = [(k, t, n, length[k] if t is None else 0) for (k, t), n in holding.items()]
+        columns = list(zip(*rows)) if rows else [[]] * 4
+        kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64()]
+        names = ["split", "term", "parts", "words"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, edited: bool = False) -> DataFrame:
@@ -291,26 +348,38 @@ def leaks(documents: DataFrame, benchmark: DataFrame, edited: bool = False) -> D
                 names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-        return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(find, HIT_SCHEMA)
+        found = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(find, HIT_SCHEMA)
+        return written(found, "benchmark-leaks") if index.split else found
 
-    result = None
-    for index in indexes(benchmark, edited=edited):
-        found = found_by(index)
-        result = found if result is None else result.unionByName(found)
-    return result
+    return reduce(DataFrame.unionByName, map(found_by, indexes(benchmark, edited=edited)))
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, edited: bool = False) -> DataFrame:
     """The documents, as they are, that contain no item, with ``edited`` no edited one either."""
 
-    def kept_by(rows: DataFrame, index: Index) -> DataFrame:
+    def kept_by(index: Index) -> DataFrame:
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = [not index.leaks(t) for t in batch.column("text").to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        return rows.mapInArrow(keep, rows.schema)
+        return documents.mapInArrow(keep, documents.schema)
+
+    def leaking(index: Index) -> DataFrame:
+        def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                pairs = zip(*(c.to_pylist() for c in batch.columns))
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, t in pairs if index.leaks(t)], pa.string())], ["_text"])
+
+        texts = documents.select(digest.alias("_text"), "text")
+        return written(texts.mapInArrow(digests, "_text string"), "benchmark-texts")
 
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    texts = None
     for index in indexes(benchmark, edited=edited):
-        documents = kept_by(documents, index)
-    return documents
+        if not index.split:
+            return kept_by(index)
+        texts = leaking(index) if texts is None else texts.unionByName(leaking(index))
+    # Null texts have no digest and stay.
+    texts = written(texts.distinct(), "benchmark-texts")
+    return documents.join(small_side(texts), digest == F.col("_text"), "left_anti")
