@@ -179,3 +179,21 @@ def test_any_number_of_indexes_gives_equal_rows(frame, monkeypatch):
         monkeypatch.setattr(d.indexes, "__defaults__", (size,))
         assert len(list(d.indexes(bench))) >= least
         assert results() == one
+
+
+def test_short_items_are_found(frame, monkeypatch):
+    items = [(1, "Too short!"), (2, "alone"), (3, "one two three four"), (4, "Too, short"), (5, "..."), (6, "a b c d e f g")]
+    rows = [(1, "it is too short here"), (2, "too long, short"), (3, "x alone"), (4, "one two three FOUR five"), (5, "alone"), (6, "one two four"), (7, None), (8, "")]
+    bench, table = frame(ITEM, *items), documents(frame, rows)
+    want = {(1, 1), (1, 4), (3, 2), (4, 3), (5, 2)}
+
+    def found(bench):
+        got = d.leaks(table, bench, edited=True).collect()
+        assert all(r.score > 0 and r.question_overlap == r.answer_overlap == 1 for r in got)
+        return sorted(map(str, got)), {(r.doc_id, r.item_id) for r in got}
+
+    one = found(bench)
+    assert one[1] == want and {r.doc_id for r in d.without_leaks(table, bench).collect()} == {2, 6, 7, 8}
+    assert found(frame(ITEM, *items[:5]))[1] == want
+    monkeypatch.setattr(d.indexes, "__defaults__", (25,))
+    assert len(list(d.indexes(bench))) > 1 and found(bench) == one

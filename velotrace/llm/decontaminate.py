@@ -16,9 +16,11 @@ The index is read on the driver and sent to the tasks. Its size is checked: larg
 are split by item, and the texts pass each split's index in turn, one index at a time. Weights come
 from counts over all items, so the number of splits changes no row.
 
-Defined results: null texts and texts without words contain nothing; items with a null text or
-fewer than five words say too little and are left out; an item that repeats is found under each of
-its ids; a text that repeats is found each time. No items find nothing. Other columns are ignored.
+Defined results: null texts and texts without words contain nothing, and items without words are in
+no text; an item of fewer than five words is found where all its words stand in a row, even with
+``edited`` unchanged, and scored by the counts of the longer ones; an item that repeats is found
+under each of its ids; a text that repeats is found each time. No items find nothing. Other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -84,7 +86,7 @@ def edits(words: list[str], text: list[str]) -> int:
 
 
 def in_parts(words: list[str]) -> list[list[str]]:
-    """The parts of an item; none if it says too little."""
+    """The parts of an item; none if it has no run."""
     return [words[at : at + PART] for at in range(0, len(words), PART)] if len(words) >= RUN else []
 
 
@@ -114,9 +116,12 @@ class Index:
         self.question: list[set] = []
         self.answer: list[set] = []
         parts: list[list[str]] = []
+        short: list[tuple[int | None, tuple[str, ...]]] = []
         for item_id, text in sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1] or "")):
             words = tokens(text)
             if len(words) < RUN:
+                if words:
+                    short.append((item_id, tuple(words)))
                 continue
             found = runs(words)
             half = math.ceil(len(words) / 2)
@@ -139,6 +144,15 @@ class Index:
         counts = counts or Counts(self.size, sum(map(len, parts)), df)
         mean = counts.words / max(1, counts.parts)
         idf = {t: math.log(1 + (counts.parts - n + 0.5) / (n + 0.5)) for t, n in counts.holding.items()}
+        self.short: dict[tuple[str, ...], list[tuple[int | None, float]]] = {}
+        for item_id, own in short:
+            score = 0.0
+            for t, tf in Counter(own).items():
+                n = counts.holding.get(t, 0)
+                weight = math.log(1 + (counts.parts - n + 0.5) / (n + 0.5))
+                score += weight * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(own) / (mean or len(own))))
+            self.short.setdefault(own, []).append((item_id, score))
+        self.short_lengths = sorted({len(own) for own in self.short})
         lists: list[list[tuple[int, float]]] = [[] for _ in self.term]
         full, most = np.zeros(self.size), np.zeros(self.size)
         for number, part in enumerate(parts):
@@ -236,8 +250,15 @@ class Index:
     def leaks(self, text: str | None, overlap: float = OVERLAP) -> list[tuple[int | None, float, float, float]]:
         """(item_id, score, question overlap, answer overlap) of the items that a text contains."""
         words = tokens(text)
-        if not words or not self.size:
-            return []
+        out = []
+        for n in self.short_lengths:
+            for own in self.short.keys() & set(zip(*(words[i:] for i in range(n)))):
+                out += [(item_id, score, 1.0, 1.0) for item_id, score in self.short[own]]
+        if words and self.size:
+            out += self._long(words, overlap)
+        return sorted(out, key=lambda x: (x[0] is None, x[0] or 0, x[1:]))
+
+    def _long(self, words: list[str], overlap: float) -> list[tuple[int | None, float, float, float]]:
         get = self.term.get
         ids = np.array([get(w, -1) for w in words], dtype=np.int64)
         best: dict[int, tuple[float, set, set]] = {}
@@ -272,7 +293,7 @@ class Index:
                 found = (question >= overlap and answer >= overlap) or in_order[2]
             if found:
                 out.append((item_id, sum(h[0] for h in hits), question, answer))
-        return sorted(out, key=lambda x: (x[0] is None, x[0] or 0))
+        return out
 
 
     def in_order(self, item: int, words: list[str], windows: list[int]) -> tuple[float, float, bool]:
@@ -322,7 +343,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         holding: Counter = Counter()
         length: Counter = Counter()
         for split, text in zip(*(c.to_pylist() for c in batch.columns)):
-            for part in in_parts(tokens(text)):
+            words = tokens(text)
+            # The terms of a short item are looked up, but it has no part.
+            if len(words) < RUN:
+                holding.update(dict.fromkeys(((split, t) for t in words), 0))
+            for part in in_parts(words):
                 holding.update((split, t) for t in (None, *set(part)))
                 length[split] += len(part)
         rows = [(k, t, n, length[k] if t is None else 0) for (k, t), n in holding.items()]
