@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A word is a run of anything but the blank and the control characters from tab to return.
@@ -29,3 +29,20 @@ def lower_ascii(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Words in the text as a long; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def running_totals(rows: DataFrame, order: list[str], size: str, name: str, group: int = 4096) -> DataFrame:
+    """For each row the sum of ``size`` over the rows before it, where the first column of
+    ``order`` is a number that counts up without large gaps.
+
+    Rows are summed in groups of that number, and the groups' sums are carried, so that no task
+    sees more than one group, or one row per group.
+    """
+    inside = Window.partitionBy("_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    grouped = rows.select(*order, size, F.floor(F.col(order[0]) / group).alias("_group"))
+    totals = grouped.groupBy("_group").agg(F.sum(size).alias("_total"))
+    carried = totals.select("_group", F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_carry"))
+    return grouped.withColumn("_before", F.coalesce(F.sum(size).over(inside), F.lit(0))).join(
+        carried, "_group"
+    ).select(*order, (F.col("_before") + F.col("_carry")).cast("long").alias(name))

@@ -10,6 +10,7 @@ from velotrace.llm import (
     mixing_query,
     quality_query,
     repeats_query,
+    token_query,
     toxicity_query,
     url_query,
     warc_query,
@@ -28,6 +29,7 @@ QUERIES = {
         repeats_query.op8_suffix_array_dedup,
         quality_query.op9_quality_classifier,
         jaccard_query.op10_ngram_jaccard_join,
+        token_query.op11_token_files,
     )
 }
 
