@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from velotrace.llm import (
+    audit_query,
     chat_query,
     decontaminate_query,
     fingerprint_query,
     jaccard_query,
+    lexical_query,
     mixing_query,
     quality_query,
     repeats_query,
@@ -30,6 +32,8 @@ QUERIES = {
         quality_query.op9_quality_classifier,
         jaccard_query.op10_ngram_jaccard_join,
         token_query.op11_token_files,
+        audit_query.op12_filter_audit,
+        lexical_query.op13_lexical_search,
     )
 }
 
@@ -39,4 +43,6 @@ SQL = {
     "op5_chat_formatting": chat_query.SQL,
     "op10_ngram_jaccard_join": jaccard_query.SQL,
     "op6_warc_revisits": warc_query.SQL,
+    "op12_filter_audit": audit_query.SQL,
+    "op13_lexical_search": lexical_query.SQL,
 }
