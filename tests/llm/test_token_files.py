@@ -57,6 +57,14 @@ def test_word_by_word_is_the_same(text):
     assert ids + [2] == by_library(text)
 
 
+def test_every_letter_of_the_short_way():
+    encode = token_files.encoder(PATH)
+    letters = [chr(c) for c in range(0x21, 0x260) if not 0x7F <= c <= 0xA0]
+    for x in letters:
+        for text in (x, f"a{x}", f"{x}b.", f"{x},", f"A{x}É..", f"{x.upper()}{x}"):
+            assert np.frombuffer(encode(text), "<u2").tolist() == by_library(text)[:-1], text
+
+
 @pytest.mark.parametrize("path", [PATH, public_tokenizers.path("byte_bpe_50k.json")])
 def test_files_hold_what_the_library_gives(spark, frame, path, monkeypatch):
     rows = [(i * 10**15 - 10**17, t) for i, t in enumerate(ODD)]
@@ -74,11 +82,15 @@ def test_files_hold_what_the_library_gives(spark, frame, path, monkeypatch):
     known = {t: by_library(t, path) for t in {r[1] for r in rows}}
     want = sorted(((d is not None, d or 0, known[t]) for d, t in rows))
     assert sorted((r.doc_id is not None, r.doc_id or 0, r.ids) for r in got) == want
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).collect()
+    files = token_files.token_files(spark, folder).collect()
     assert len(files) > 10
+    index = {(r.part, r.file): r for r in spark.read.parquet(f"{folder}/{token_files.INDEX}").collect()}
+    assert len(index) == len(files)
     for file in files:
         data = bytes(file.content)
-        first, ids, ends, array = token_files.parse(data)
+        place, ids, ends, array = token_files.parse(data)
+        first = index[place].start
+        assert (index[place].docs, index[place].ids) == (len(ids), len(array))
         one = [r.ids for r in got if first <= r.start < first + len(array)]
         assert [token_files.document(data, i).tolist() for i in range(len(ids))] == one
 
