@@ -263,10 +263,13 @@ def test_gaps_against_the_sequential_rule(frame, group_rows):
 def test_vertices_off_the_road_wait_for_the_fill_pass(frame):
     lats = [51.0, 51.03, 51.06, 51.1]
     df = frame(GAP_ROWS, known(0, 51.0), unknown(1), unknown(2), known(3, 51.1))
-    index = roads.road_index(frame("lat double, lon double", (51.0301, 0.0)))
-    table = route(frame, *lats)
-    passed = roads.interpolate_gaps(df, routes=table, roads=index)
+    points, table = frame("lat double, lon double", (51.0301, 0.0)), route(frame, *lats)
+    limited = Settings(snap_radius_m=100.0)
+    passed = roads.interpolate_gaps(df, limited, table, roads.road_index(points, limited))
     assert column(passed, "snapped_lat", "timestamp") == [51.0, 51.0301, None, 51.1]
+    # Without a limit every vertex has a nearest road.
+    passed = roads.interpolate_gaps(df, routes=table, roads=roads.road_index(points))
+    assert column(passed, "snapped_lat", "timestamp") == [51.0, 51.0301, 51.0301, 51.1]
 
 
 def test_nearest_vertex_prefers_the_earlier(frame):

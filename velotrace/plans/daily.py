@@ -14,7 +14,7 @@ from velotrace.schemas import DEVICE, TIME_ORDER
 from velotrace.session import scratch, written
 from velotrace.settings import Settings
 from velotrace.sources import messages as message_source
-from velotrace.sources import sinks, tables
+from velotrace.sources import quarantine, sinks, tables
 
 SLICE = ("region", "date")
 
@@ -130,6 +130,23 @@ def publish_day(spark: SparkSession, enriched: str, day: date) -> DataFrame:
     return publish.publish(rows.withColumnRenamed("region", "source_region"))
 
 
+def publish_good(
+    spark: SparkSession, enriched: str, day: date, rejects: str | None = None, kind: str = "parquet"
+) -> DataFrame | None:
+    """``publish_day`` of the files that can be read; None if there are none.
+
+    Files that are empty or cannot be read are left out, and written with the reason to the folder
+    ``rejects``, if it is given.
+    """
+    found = quarantine.read_good(spark, f"{enriched.rstrip('/')}/region=*/date={day}", kind, "part-*")
+    if rejects is not None:
+        found.rejects.write.mode("overwrite").parquet(rejects)
+    if found.rows is None:
+        return None
+    region = F.regexp_extract("source_file", "/region=([^/]*)/", 1)
+    return publish.publish(found.rows.withColumn("source_region", region).drop("source_file"))
+
+
 def write_trips(
     spark: SparkSession, enriched: str, day: date, out: str, force: bool = False
 ) -> bool:

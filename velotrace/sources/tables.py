@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -122,23 +121,29 @@ def read_day_folder(spark: SparkSession, root: str, day: date, kind: str = "parq
 
 
 def days_in(spark: SparkSession, root: str) -> list[date]:
-    """The days of ``year=``/``month=``/``day=`` folders, in order; one entry per day."""
+    """The days of ``year=``/``month=``/``day=`` folders, in order; one entry per day.
+
+    Folders of rows without a day are no days.
+    """
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/year=*/month=*/day=*")
     found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
     parts = [str(s.getPath()).rsplit("/", 3)[1:] for s in found or []]
-    return sorted(date(*(int(p.split("=")[1]) for p in day)) for day in parts)
+    named = ([p.split("=")[1] for p in day] for day in parts)
+    return sorted(date(*map(int, day)) for day in named if all(x.isdigit() for x in day))
 
 
 def list_files(
     spark: SparkSession, root: str, pattern: str = "*", max_files: int | None = None
 ) -> DataFrame:
-    """``path, bytes, modified`` of the files below a folder; their content is not read."""
-    try:
-        files = spark.read.format("binaryFile").options(
-            pathGlobFilter=pattern, recursiveFileLookup=True
-        ).load(root)
-    except AnalysisException:
+    """``path, bytes, modified`` of the files below a folder; their content is not read.
+
+    A folder that does not exist has none; one that cannot be listed is an error.
+    """
+    if not exists(spark, root):
         return spark.createDataFrame([], "path string, bytes long, modified timestamp")
+    files = spark.read.format("binaryFile").options(
+        pathGlobFilter=pattern, recursiveFileLookup=True
+    ).load(root)
     listed = files.select(
         "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")
     )
