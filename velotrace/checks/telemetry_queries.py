@@ -136,20 +136,20 @@ def located(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def trips_sql(gap: float, sql: str, first_fix: bool = True) -> str:
+def trips_sql(gap: float, sql: str, first_fix: bool = True, source: str = "", before: str = "") -> str:
+    """SQL over ``trips``: the rows of ``source`` with lat and lon, measured along their devices."""
     over = f"OVER (PARTITION BY device_id ORDER BY {ORDER})"
     fix = "WHEN lat IS NOT NULL AND lon IS NOT NULL AND nv = 1 THEN 0" if first_fix else ""
     metres = haversine_sql("plat", "plon", "lat", "lon")
+    source = source or "(SELECT *, position_latitude AS lat, position_longitude AS lon FROM telemetry)"
     return duck_with(
-        f"""a AS (SELECT *, position_latitude AS lat, position_longitude AS lon,
-          lag(timestamp) {over} AS pts, lag(position_latitude) {over} AS plat,
-          lag(position_longitude) {over} AS plon, row_number() {over} AS rn,
-          count(*) OVER (PARTITION BY device_id) AS n FROM telemetry),
+        f"""{before} a AS (SELECT *, lag(timestamp) {over} AS pts, lag(lat) {over} AS plat,
+          lag(lon) {over} AS plon, row_number() {over} AS place, count(*) OVER (PARTITION BY device_id) AS n FROM {source}),
         b AS (SELECT *, coalesce(timestamp - pts > {gap}, false) AS brk FROM a),
-        c AS (SELECT *, rn = 1 OR brk AS opening, sum(CAST(brk AS INT)) {over} AS trip FROM b),
+        c AS (SELECT *, place = 1 OR brk AS opening, sum(CAST(brk AS INT)) {over} AS trip FROM b),
         e AS (SELECT *, sum(CASE WHEN lat IS NOT NULL AND lon IS NOT NULL AND NOT opening THEN 1 ELSE 0 END)
           OVER (PARTITION BY device_id, trip ORDER BY {ORDER} ROWS UNBOUNDED PRECEDING) AS nv FROM c),
-        m AS (SELECT *, CAST(CASE WHEN n < 2 THEN NULL WHEN rn = 1 THEN 0 WHEN brk THEN -1
+        m AS (SELECT *, CAST(CASE WHEN n < 2 THEN NULL WHEN place = 1 THEN 0 WHEN brk THEN -1
             ELSE timestamp - pts END AS DOUBLE) AS time_s,
           CASE WHEN n < 2 THEN NULL WHEN opening THEN 0 {fix}
             WHEN lat IS NOT NULL AND lon IS NOT NULL AND plat IS NOT NULL AND plon IS NOT NULL THEN {metres}

@@ -10,7 +10,7 @@ from math import pi
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velotrace.functions.geo import EARTH_RADIUS_M, haversine, kmh_to_ms, point_key
+from velotrace.functions.geo import EARTH_RADIUS_M, geodesic, haversine, kmh_to_ms, point_key
 from velotrace.operators.clean import LAT, LON, can_snap
 from velotrace.operators.joins import lookup
 from velotrace.operators.ordered import (
@@ -24,6 +24,7 @@ from velotrace.operators.ordered import (
     running_sum,
     scan,
 )
+from velotrace.operators.segments import SegmentIndex, nearest_on_roads
 from velotrace.operators.spatial import PlaceIndex, index_places, nearest
 from velotrace.schemas import DEVICE, TIME_ORDER
 from velotrace.session import written
@@ -51,12 +52,14 @@ def road_index(road_points: DataFrame, settings: Settings = Settings()) -> Roads
     return Roads(points, index_places(points, radius, (), settings), settings.snap_radius_m, settings)
 
 
-def nearest_roads(places: DataFrame, roads: Roads) -> DataFrame:
-    """The nearest road point of each place, as ``nearest`` gives it.
+def nearest_roads(places: DataFrame, roads: Roads | SegmentIndex) -> DataFrame:
+    """The nearest road point of each place, as ``nearest`` gives it, or place on a road line.
 
     Without a limit, places that find none are searched again in a circle eight times as wide,
     until all have one or the circle is the globe.
     """
+    if isinstance(roads, SegmentIndex):
+        return nearest_on_roads(places, roads)
     found = written(nearest(places, roads.index), "snapped")
     if roads.limit_m is not None or roads.points.isEmpty():
         return found
@@ -72,12 +75,12 @@ def nearest_roads(places: DataFrame, roads: Roads) -> DataFrame:
 
 
 def snap(
-    df: DataFrame, roads: Roads | None, settings: Settings = Settings()
+    df: DataFrame, roads: Roads | SegmentIndex | None, settings: Settings = Settings()
 ) -> DataFrame:
     """Fill ``snapped_lat``, ``snapped_lon`` and ``was_snapped`` on rows with valid coordinates.
 
-    A row takes the nearest road point, within the radius if there is one, or else keeps its own
-    coordinates. Each distinct pair of coordinates is matched once.
+    A row takes the nearest road point, or with a ``segment_index`` the nearest place on a road,
+    within the radius if there is one, or else keeps its own coordinates. Each distinct pair of coordinates is matched once.
     """
     valid = can_snap()
     df = df.drop("snapped_lat", "snapped_lon", "was_snapped")
@@ -107,23 +110,26 @@ def snap(
     )
 
 
-def build_routes(vertices: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def build_routes(vertices: DataFrame, settings: Settings = Settings(), ellipsoid: bool = False) -> DataFrame:
     """Route vertices numbered from 0, with the distance along the route up to each.
 
     ``vertices(from_key, to_key, seq, lat, lon)``; distances are great-circle, which differs
-    from the ellipsoid by less than 0.6 percent.
+    from the ellipsoid by less than 0.6 percent, or with ``ellipsoid`` those of the ellipsoid.
+    Legs are summed as whole nanometres, so a length does not depend on how a route is split.
     """
     series = scan(
         ordered(vertices, ROUTE, ["seq"], settings),
         _prev=previous(F.struct("lat", "lon")),
         _nth=row_count(),
     )
-    leg = haversine(F.col("_prev.lat"), F.col("_prev.lon"), F.col("lat"), F.col("lon"))
-    series = series.map(lambda d: d.withColumn("_leg", F.coalesce(leg, F.lit(0.0))))
+    measure = geodesic if ellipsoid else haversine
+    leg = measure(F.col("_prev.lat"), F.col("_prev.lon"), F.col("lat"), F.col("lon"))
+    leg_nm = F.coalesce(F.round(leg * 1e9).cast("long"), F.lit(0).cast("long"))
+    series = series.map(lambda d: d.withColumn("_leg", leg_nm))
     return (
-        scan(series, cum_m=running_sum(F.col("_leg")))
+        scan(series, _nm=running_sum(F.col("_leg")))
         .done()
-        .withColumn("seq", (F.col("_nth") - 1).cast("int"))
+        .withColumns({"seq": (F.col("_nth") - 1).cast("int"), "cum_m": F.col("_nm") / 1e9})
         .select(*ROUTE, "seq", "lat", "lon", "cum_m")
     )
 
@@ -271,12 +277,11 @@ def _with_keys(df: DataFrame) -> DataFrame:
 
 
 
-
 def interpolate_gaps(
     df: DataFrame,
     settings: Settings = Settings(),
     routes: DataFrame | None = None,
-    roads: Roads | None = None,
+    roads: Roads | SegmentIndex | None = None,
     within: Sequence[str] = (),
     sizes: DataFrame | None = None,
 ) -> DataFrame:
@@ -315,7 +320,7 @@ def interpolate_gaps(
 
 
 def interpolate_lines(
-    series: Series, settings: Settings = Settings(), roads: Roads | None = None
+    series: Series, settings: Settings = Settings(), roads: Roads | SegmentIndex | None = None
 ) -> Series:
     """``interpolate_gaps`` along straight lines, on the rows of each device."""
     last = settings.line_points - 1
@@ -339,7 +344,7 @@ _GAP_HELPERS = [
 
 
 def _snapped_vertices(
-    rows: DataFrame, roads: Roads | None, settings: Settings
+    rows: DataFrame, roads: Roads | SegmentIndex | None, settings: Settings
 ) -> Callable[[DataFrame], DataFrame]:
     """How to put rows on their vertices: as they are, or on the nearest road."""
     if roads is None:

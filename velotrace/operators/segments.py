@@ -130,9 +130,9 @@ def pieces(segments: DataFrame, grid: Grid) -> DataFrame:
     cut = segments.withColumn("_turn", turn(F.col("lon2") - F.col("lon1"))).withColumn("row", F.explode(rows))
 
     def at(lat: Column) -> Column:
-        """How far along the segment it meets a latitude."""
-        share = F.when(step == 0, F.lit(None)).otherwise((lat - F.col("lat1")) / step)
-        return F.greatest(F.lit(0.0), F.least(F.lit(1.0), share))
+        """How far along the segment it meets a latitude; null if it keeps its own."""
+        share = (lat - F.col("lat1")) / step
+        return F.when(step != 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
 
     high = grid.high(0)
     south, north = at(F.col("row") * high - 90), at((F.col("row") + 1) * high - 90)

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velotrace.operators import clean, events, manifest, publish, regions, roads, trips
+from velotrace.operators import clean, events, manifest, publish, regions, roads, segments, trips
 from velotrace.operators.ordered import key_sizes, ordered
 from velotrace.schemas import DEVICE, TIME_ORDER
 from velotrace.session import scratch, written
@@ -25,16 +25,22 @@ def enrich(
     road_points: DataFrame | None = None,
     routes: DataFrame | None = None,
     road_distances: DataFrame | None = None,
+    road_lines: DataFrame | None = None,
     within: Sequence[str] = (),
 ) -> DataFrame:
     """Snap, fill gaps, and measure trips, for any number of region-days in one job.
 
+    Positions go to the nearest of ``road_points(lat, lon)``, or to the nearest place on one of
+    ``road_lines(road_id, seq, lat, lon)``.
     Devices are counted once for all steps, since none of them adds or removes rows.
     """
     rows = clean.add_trip_columns(clean.coerce_numeric(clean.without_serial(df)))
     sizes = key_sizes(rows, [*within, DEVICE])
     rows = clean.blank_repeats(rows, settings, within)
+    if road_points is not None and road_lines is not None:
+        raise ValueError("roads are either points or lines")
     index = None if road_points is None else roads.road_index(road_points, settings)
+    index = index if road_lines is None else segments.segment_index(road_lines, settings)
     rows = roads.snap(rows, index, settings)
     if routes is None:
         # All further steps follow the same ordered series, so a large device is split once.

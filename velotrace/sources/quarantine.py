@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.csv as arrow_csv
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotrace.session import written
-from velotrace.sources.tables import exists, typed
+from velotrace.sources.tables import CSV, exists, typed
 
 TRIED_SCHEMA = "path string, bytes long, rows long, columns array<string>, state string, reason string"
 OK, EMPTY, UNREADABLE = "ok", "empty", "unreadable"
@@ -41,13 +42,13 @@ def _csv(content: bytes) -> tuple[int, list[str]]:
     """Rows and columns of a CSV file, all of whose rows are parsed."""
     options = {
         "read_options": arrow_csv.ReadOptions(use_threads=False),
-        "parse_options": arrow_csv.ParseOptions(newlines_in_values=True, escape_char="\\"),
+        "parse_options": arrow_csv.ParseOptions(newlines_in_values=True),
     }
     names = arrow_csv.open_csv(pa.BufferReader(content), **options).schema.names
     # Any text is a value; only the shape of the rows and their encoding matter here.
     texts = arrow_csv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()))
     table = arrow_csv.read_csv(pa.BufferReader(content), convert_options=texts, **options)
-    if re.sub(rb"\\.", b"", content).count(b'"') % 2:
+    if content.count(b'"') % 2:
         raise pa.ArrowInvalid("the file ends within quotes")
     return table.num_rows, table.column_names
 
@@ -80,8 +81,9 @@ def tried_files(spark: SparkSession, roots: Sequence[str], kind: str, pattern: s
     roots = [r for r in roots if exists(spark, r)]
     if not roots:
         return spark.createDataFrame([], TRIED_SCHEMA)
+    # A file whose bytes the storage cannot give is missed by the scan, and found by the listing.
     files = spark.read.format("binaryFile").options(
-        pathGlobFilter=pattern or f"*.{kind}", recursiveFileLookup=True
+        pathGlobFilter=pattern or f"*.{kind}", recursiveFileLookup=True, ignoreCorruptFiles=True
     ).load(list(roots))
 
     def attempt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +99,23 @@ def tried_files(spark: SparkSession, roots: Sequence[str], kind: str, pattern: s
             )
 
     tried = files.select("path", F.col("length").alias("bytes"), "content").mapInArrow(attempt, TRIED_SCHEMA)
-    return written(tried, "tried-files")
+    tried = written(tried, "tried-files")
+    # A scan also passes over files of no bytes.
+    names = spark.createDataFrame([(_plain(p),) for p in files.inputFiles()], "path string")
+    plain = F.regexp_replace("path", "^file:/+", "file:/").alias("path")
+    sizes = files.select(plain, F.col("length").alias("bytes"))
+    missed = names.join(tried.select(plain), "path", "left_anti").join(sizes, "path", "left")
+    some = F.col("bytes") > 0
+    missed = missed.select(
+        "path", F.coalesce("bytes", F.lit(0)).alias("bytes"), F.lit(0).cast("long").alias("rows"),
+        F.array().cast("array<string>").alias("columns"), F.when(some, UNREADABLE).otherwise(EMPTY).alias("state"),
+        F.when(some, "the storage cannot read it").otherwise("no content").alias("reason"),
+    )
+    return written(tried.unionByName(missed), "listed-files")
+
+
+def _plain(address: str) -> str:
+    return re.sub("^file:/+", "file:/", unquote(address))
 
 
 def read_good(spark: SparkSession, roots: Sequence[str] | str, kind: str, pattern: str | None = None) -> Tried:
@@ -113,8 +131,7 @@ def read_good(spark: SparkSession, roots: Sequence[str] | str, kind: str, patter
     tables = []
     for row in groups.orderBy("columns").collect():
         if kind == "csv":
-            options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-            table = spark.read.options(header=True, multiLine=True, **options).csv(row["paths"])
+            table = spark.read.options(multiLine=True, **CSV).csv(row["paths"])
         else:
             table = spark.read.option("mergeSchema", True).parquet(*row["paths"])
         kept = [F.col(f"`{c}`") for c in table.columns]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from velotrace.operators.joins import joined
 from velotrace.operators.manifest import pending_rows
 from velotrace.settings import Settings
+from velotrace.sources.tables import CSV
 
 
 def write_slices(
@@ -27,7 +28,7 @@ def write_slices(
         df.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .options(**CSV)
         .partitionBy(*by)
         .format(kind)
         .save(root)
@@ -52,7 +53,7 @@ def write_days(df: DataFrame, root: str, day: Column | str = "date", kind: str =
 def write_day(df: DataFrame, root: str, day: date, kind: str = "parquet") -> None:
     """Write one day's folder, with its columns even if there are no rows."""
     folder = f"{root.rstrip('/')}/year={day:%Y}/month={day:%m}/day={day:%d}"
-    df.write.mode("overwrite").option("header", True).format(kind).save(folder)
+    df.write.mode("overwrite").options(**CSV).format(kind).save(folder)
 
 
 def compare_written(expected: DataFrame, stored: DataFrame) -> DataFrame:

@@ -24,6 +24,9 @@ KNOWN_TYPES = {f.name: f.dataType for f in TELEMETRY_SCHEMA} | {
     **{raw: T.DoubleType() for raw in ACCEL_CHANNELS},
 }
 
+# CSV as most programs write it: a quote within quotes is doubled, and blanks are part of a value.
+CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def typed(df: DataFrame) -> DataFrame:
     """Known columns in their types, text that does not fit as null; other columns unchanged."""
@@ -42,13 +45,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], by_position: bool
     its own and unites them by name, with null for columns that a path lacks.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.options(
-        header=True,
-        pathGlobFilter="*.csv",
-        recursiveFileLookup=True,
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
+    reader = spark.read.options(pathGlobFilter="*.csv", recursiveFileLookup=True, **CSV)
     tables = [typed(reader.csv(p)) for p in paths]
     if by_position:
         return union_by_position(tables)
