@@ -114,3 +114,29 @@ def test_overlaps_of_blocks():
     sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(30)]
     got = jaccard.overlaps(sets[:12], sets[12:])
     assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[12:]] for a in sets[:12]]
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(frame):
+    rng = random.Random(8)
+    a, b, c = (" ".join(words(rng, 60)) for _ in range(3))
+    rows = [(0, a), (1, a), (1, b), (1, b), (2, c), (2, edited(rng, c.split(), 1)), (None, a), (None, a)]
+    kept = [(r.doc_id, r.text) for r in jaccard.one_of_each(documents(frame, rows, extra=True), 5, 80).collect()]
+    assert sorted((i, t) for i, t in kept if i is not None) == sorted([(0, a), (1, b), *[x for x in kept if x[0] == 2]])
+    assert sum(i == 2 for i, _ in kept) == 1 and sum(i is None for i, _ in kept) == 2
+
+
+@pytest.mark.parametrize("small", [2, 64])
+def test_near_copies_that_only_link_in_a_chain(frame, monkeypatch, small):
+    """Families whose members link with few of the others, in short and in long columns."""
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    rng, rows = random.Random(3), []
+    for family in range(3):
+        text = [f"f{family}w{i}" for i in range(90)]
+        for step in range(40):
+            rows.append((1000 * family + step, " ".join(text)))
+            text = list(text)
+            at = 2 * step % 90
+            text[at : at + 2] = [f"n{rng.randrange(10**6)}", f"n{rng.randrange(10**6)}"]
+    got = sorted(map(tuple, jaccard.jaccard_components(documents(frame, rows)).collect()), key=str)
+    assert got == by_all_pairs(rows)

@@ -46,3 +46,11 @@ def running_totals(rows: DataFrame, order: list[str], size: str, name: str, grou
     return grouped.withColumn("_before", F.coalesce(F.sum(size).over(inside), F.lit(0))).join(
         carried, "_group"
     ).select(*order, (F.col("_before") + F.col("_carry")).cast("long").alias(name))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, with ``name`` in it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -9,11 +9,13 @@ kept. The order puts n-grams that many documents hold last.
    one class from here on. The same pass counts frequent n-grams, for the order of columns only.
 2. A second pass emits the first entries of each class. Columns with few entries are multiplied
    where they meet: they give pairs, whose counts are summed over columns, and pairs below the
-   bound that their sizes set go.
+   bound that their sizes set go. Two pairs of each class are verified first, and then only pairs
+   that are not yet connected, so that copies of one text are not all compared with each other.
 3. Columns with many entries give a few pivots each, the same for columns of the same classes.
    Classes that already link through pivots and pairs need no other link, so only columns that
    still hold different components are cut into blocks by size, and each pair of blocks whose sizes
-   allow a link is multiplied whole in one task, which returns links and no other pairs.
+   allow a link is multiplied whole in one task, which returns links and no other pairs. Classes of
+   a column's largest component are multiplied with the others only, not among themselves.
 4. Pairs that may link by the low bits of all their n-grams, which bound the overlap from above,
    are verified with both whole sets, and links become components.
 
@@ -34,12 +36,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velotrace.llm.common import unused
 from velotrace.llm.components import components
-from velotrace.operators.joins import lookup
+from velotrace.operators.joins import fits, lookup
+from velotrace.operators.ordered import ordered, row_count, scan
 from velotrace.session import written
+from velotrace.settings import Settings
 
 WIDTH, PERCENT = 4, 85
 #: Entries of a column that are paired where they meet; longer columns are cut into blocks.
@@ -533,16 +538,26 @@ def product_keys(long_rows: DataFrame) -> DataFrame:
 def blocks_of(keyed: DataFrame, percent: int) -> DataFrame:
     """(key, doc_id, n, label) to (key, i, j, side, doc_id, label).
 
-    Each key's documents are ordered by size and cut into blocks; each pair of blocks that sizes
-    allow to link gets the rows of both.
+    Each key's documents are ordered by size and cut into blocks, those of its largest label apart
+    from the others; each pair of blocks that sizes allow to link, and that are not both of the
+    largest label, gets the rows of both.
     """
-    place = F.row_number().over(Window.partitionBy("key").orderBy("n", "doc_id")) - 1
-    rows = written(keyed.withColumn("block", F.floor(place / BLOCK).cast("int")), "long-rows")
+    keyed = written(keyed, "keyed-rows")
+    sizes = keyed.groupBy("key", "label").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "label"))["label"].alias("largest"))
+    rows = lookup(keyed, written(largest, "largest"), ["key"]).withColumn("inner", F.col("label") == F.col("largest"))
+    # Keys of many rows are numbered in parts.
+    placed = scan(ordered(rows.drop("largest"), ["key", "inner"], ["n", "doc_id"]), place=row_count()).done()
+    block = F.floor((F.col("place") - 1) / BLOCK).cast("int")
+    # Blocks of the largest component have numbers below zero.
+    rows = written(placed.withColumn("block", F.when(F.col("inner"), -1 - block).otherwise(block)), "long-rows")
     spans = rows.groupBy("key", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    either = (F.col("y.block") < 0) | (F.col("x.block") <= F.col("y.block"))
     near = (
-        spans.alias("x")
-        .join(spans.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.block") <= F.col("y.block")))
+        spans.filter("block >= 0").alias("x")
+        .join(spans.alias("y"), (F.col("x.key") == F.col("y.key")) & either)
         .filter(F.col("y.least") * percent <= F.col("x.most") * 100)
+        .filter(F.col("x.least") * percent <= F.col("y.most") * 100)
         .select(F.col("x.key").alias("key"), F.col("x.block").alias("i"), F.col("y.block").alias("j"))
     )
     near = written(near, "block-pairs")
@@ -551,6 +566,25 @@ def blocks_of(keyed: DataFrame, percent: int) -> DataFrame:
     return sides.join(rows, ["key", "block"]).select("key", "i", "j", side.alias("side"), "doc_id", "label")
 
 
+def spanning(pairs: DataFrame) -> DataFrame:
+    """Of each document's pairs (a, b) those with its smallest partner, by id and by a hash of it."""
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    chosen = both.groupBy("a").agg(
+        F.min("b").alias("one"), F.min(F.struct(F.xxhash64("b").alias("rank"), "b"))["b"].alias("other")
+    )
+    ends = chosen.select("a", F.explode(F.array("one", "other")).alias("b"))
+    return ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def apart(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are not in one component (node, component)."""
+    for end in ("a", "b"):
+        label = joined.select(F.col("node").alias(end), F.col("component").alias(f"label_{end}"))
+        pairs = pairs.join(label, end, "left")
+    different = F.coalesce("label_a", "a") != F.coalesce("label_b", "b")
+    return pairs.filter(different).select("a", "b")
+
+
 def jaccard_components(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text) to (doc_id, n_shingles, component_id), one row per document."""
     seen = sets_and_counts(documents, width)
@@ -597,23 +631,35 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH, percent: int =
         F.col("class").alias("a"), F.explode(F.array("p1", "p2", "p3")).alias("b")
     )
     pairs = pairs.unionByName(to_pivots.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    asked = (
+    asked = written(
         pairs.distinct()
         .join(ids.withColumnsRenamed({"class": "a", "doc_id": "doc_a"}), "a")
         .join(ids.withColumnsRenamed({"class": "b", "doc_id": "doc_b"}), "b")
         .select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"))
-        .filter("a <> b")
+        .filter("a <> b"),
+        "pairs",
     )
-    asked = written(possible(written(asked, "pairs"), sketches, percent), "possible")
+    first = written(spanning(asked), "first-pairs")
+    likely = written(possible(first, sketches, percent), "possible")
 
-    # Texts that are still needed, as pairs or as rows of long columns, are shuffled once.
+    # Texts that may be needed, of pairs or of rows of long columns, are shuffled once.
     wanted = (
         asked.select(F.explode(F.array("a", "b")).alias("doc_id"))
         .unionByName(long_entries.join(ids, "class").select("doc_id"))
         .distinct()
     )
-    texts = written(packed_texts(texts).join(written(wanted, "wanted"), "doc_id", "left_semi"), "texts")
-    edges = written(verified(asked, texts, width, percent), "links")
+    wanted = written(wanted, "wanted")
+    if fits(wanted, Settings().broadcast_rows):
+        texts = packed_texts(texts.join(F.broadcast(wanted), "doc_id", "left_semi"))
+    else:
+        texts = packed_texts(texts).join(wanted, "doc_id", "left_semi")
+    texts = written(texts, "texts")
+    edges = written(verified(likely, texts, width, percent), "links")
+    joined = written(components(edges), "first-components")
+    open_pairs = written(apart(asked.join(first, ["a", "b"], "left_anti"), joined), "open-pairs")
+    if not open_pairs.isEmpty():
+        likely = written(possible(open_pairs, sketches, percent), "possible")
+        edges = written(edges.unionByName(verified(likely, texts, width, percent)), "more-links")
 
     if not long_entries.isEmpty():
         joined = written(components(edges), "first-components")
@@ -641,11 +687,24 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH, percent: int =
 
 
 def one_of_each(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The documents, as they are, whose id is their component's smallest, each id once.
+    """The documents, as they are, of which one of each component is kept: that of the smallest id.
 
-    Rows without an id are kept.
+    Rows without an id are kept. Where several rows share an id, different texts among them are
+    judged each by itself, and equal ones are one document.
     """
-    found = written(jaccard_components(documents, width, percent), "found")
-    kept = found.filter("component_id = doc_id").select("doc_id").distinct()
-    rows = documents.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rows.unionByName(documents.filter("doc_id is null"))
+    known = documents.filter("doc_id is not null")
+    nameless = documents.filter("doc_id is null")
+    if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        found = jaccard_components(documents, width, percent)
+        kept = written(found.filter("component_id = doc_id").select("doc_id"), "found")
+        return documents.join(kept, "doc_id", "left_semi").unionByName(nameless)
+
+    # A text under an id is a document with a number of its own.
+    own, name = F.xxhash64("doc_id", "text"), unused(documents, "own")
+    numbered = known.select(own.alias("doc_id"), F.col("doc_id").alias("named"), "text")
+    found = written(jaccard_components(numbered.select("doc_id", "text"), width, percent).select("doc_id", "component_id"), "found")
+    ids = numbered.select("doc_id", "named").distinct()
+    first = F.min(F.struct("named", "doc_id"))["doc_id"].alias(name)
+    kept = written(found.distinct().join(ids, "doc_id").groupBy("component_id").agg(first).select(name), "kept")
+    rows = known.withColumn(name, own).join(kept, name, "left_semi").dropDuplicates([name]).drop(name)
+    return rows.select(*[F.col(f"`{c}`") for c in documents.columns]).unionByName(nameless)
