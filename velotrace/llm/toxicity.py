@@ -8,7 +8,7 @@ highest window: overlapping windows cover the whole text, and no word is left ou
 Labels hold for documents, not for windows: in each epoch a toxic document trains with the window
 that scores highest so far, the others with windows in turn. The scores are calibrated on the
 training documents. Training takes at most ``train_rows`` labelled rows, those with the smallest
-hash of their id, and at most ``WINDOWS`` windows of each; scoring covers every window of every
+hash of their id, with all windows of each; scoring covers every window of every
 document. Ids, languages, sources and labels are never inputs of a score.
 
 Defined results: a null text is scored like an empty one, and an empty one like a window without
@@ -28,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velotrace.llm.common import map_arrow
 from velotrace.llm.quality import labelled
 
 #: Words of a window, and from one window's start to the next one's.
 WIDTH, STRIDE = 64, 48
-#: Labelled rows that training takes at most, and windows of each.
-TRAIN_ROWS, WINDOWS = 9_000, 8
+#: Labelled rows that training takes at most, with all windows of each.
+TRAIN_ROWS = 9_000
 WORD_BUCKETS, GRAM_BUCKETS, EMBEDDING, HIDDEN = 4096, 16_384, 8, 12
 #: Different words whose inputs a task keeps; beyond, they are computed again.
 KEPT_WORDS = 150_000
@@ -420,11 +421,10 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1,
             ids, kinds, parts = [], [], []
             for i, text, label in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "label"))):
                 words = tokens(text)
-                at = starts(len(words))
-                for k in np.unique(np.linspace(0, len(at) - 1, WINDOWS).astype(int)):
+                for at in starts(len(words)):
                     ids.append(i)
                     kinds.append(label)
-                    parts.append(" ".join(words[at[k] : at[k] + WIDTH]))
+                    parts.append(" ".join(words[at : at + WIDTH]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(kinds, pa.int32()), pa.array(parts, pa.string())],
                 ["doc_id", "label", "words"],
@@ -453,7 +453,7 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1,
 
 def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
     """The columns ``keep`` and the score, as ``name``, of every document; needs ``text``."""
-    rows = documents.select(*dict.fromkeys([*keep, "text"]))
+    rows = documents.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model.weights) if model.weights is not None else None
@@ -463,4 +463,4 @@ def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",
             values = pa.array(model.score(logits), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.select(list(keep)).columns, values], [*keep, name])
 
-    return rows.mapInArrow(scored, rows.select(*keep).schema.add(name, "double"))
+    return map_arrow(rows, scored, rows.select(*[F.col(f"`{c}`") for c in keep]).schema.add(name, "double"))
