@@ -92,3 +92,35 @@ def test_components_of_chains_stars_and_random_graphs(spark, frame):
     got = {r.node: r.component for r in components.components(frame("a long, b long", *edges)).collect()}
     assert got == {x: root(x) for x in parent}
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page, targets",
+    [
+        ('<link rel="canonical" href="//x.net/es/1">', ["http://x.net/es/1"]),
+        ("<link href=c.html rel='alternate Canonical'>", ["http://own.org/a/c.html"]),
+        ('<LINK REL=canonical HREF="../x?p=1&amp;q=2">', ["http://own.org/x?p=1&q=2"]),
+        ("<link rel=canonical href=/r><link rel=canonical href='http://two.org/'>", ["http://own.org/r", "http://two.org/"]),
+        ('<meta http-equiv="Refresh" content="3 ; URL=\'/es/2\'">', ["http://own.org/es/2"]),
+        ("<meta content='0;url=http://m.org/?a=b' http-equiv=refresh>", ["http://m.org/?a=b"]),
+        ('<base href="http://b.org/d/"><link rel=canonical href="e">', ["http://b.org/d/e"]),
+        ('<link rel="stylesheet" href="s.css"><link rel=canonical><meta http-equiv=refresh content=5>', []),
+        ('<link rel=canonical href="http://[bad">', []),
+        ('<link rel=canonical href="mailto:a@b">', []),
+        ("canonical refresh", []),
+    ],
+)
+def test_link_targets_are_resolved(page, targets):
+    assert url_filter.targets_of("http://own.org/a/b.html?q", page) == targets
+
+
+def test_blocks_follow_relative_links(spark, frame):
+    pages = frame(
+        SCHEMA,
+        (1, "http://own.org/a/1", '<link rel=canonical href="//x.net/es/1">'),
+        (2, "http://own.org/a/2", '<link rel=canonical href="1">'),
+        (3, "http://own.org/b/3", "<meta http-equiv=refresh content='0;url=../a/2'>"),
+        (4, "http://own.org/b/4", '<link rel=canonical href="5">'),
+    )
+    got = judged(spark, pages)
+    assert [got[i].verdict for i in (1, 2, 3, 4)] == ["block", "block", "block", "allow"]

@@ -15,6 +15,12 @@ stands. No rules allow everything. Other columns are ignored.
 
 from __future__ import annotations
 
+import html
+import re
+from collections.abc import Iterator
+from urllib.parse import urljoin
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +32,9 @@ from velotrace.session import written
 ALLOW, BLOCK = "allow", "block"
 #: Query parameters that do not change what a url shows.
 TRACKING = r"(utm_\w+|ref|fbclid|gclid)"
+TAG = re.compile(r"<(link|meta|base)\b((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+REFRESH = re.compile(r"^[\s\d.]*[;,\s]\s*url\s*=\s*(.+?)\s*$", re.IGNORECASE)
 
 
 def _rest(url: Column) -> Column:
@@ -56,28 +65,54 @@ def tidy(url: Column) -> Column:
     return F.when(host != "", F.concat(F.lit("https://"), host, path, asked))
 
 
-def page_links(pages: DataFrame) -> DataFrame:
-    """(a, b): each page's url with its tidy form, its canonical link and its refresh target.
+def _attributes(tag: str) -> dict[str, str]:
+    """Attribute names in lower case with their values, the first of each name."""
+    found: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(tag):
+        found.setdefault(name.lower(), html.unescape(next((v for v in values if v), "")))
+    return found
+
+
+def targets_of(url: str, page: str) -> list[str]:
+    """The absolute addresses of all canonical links and refreshes of a page.
 
-    Targets that start with ``/`` are on the page's own host; other relative ones are ignored.
+    Relative addresses, those without a scheme and those without a host are resolved against the
+    page's ``base`` if it has one, or else its url; addresses that cannot be resolved are no links.
     """
-    canonical = F.regexp_extract(
-        F.regexp_extract("html", r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0),
-        r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1,
-    )
-    refresh = F.regexp_extract(
-        F.regexp_extract("html", r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0),
-        r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1,
-    )
-    own_host = F.concat(F.substring_index("url", "://", 1), F.lit("://"), host_of(F.col("url")))
-
-    def absolute(target: Column) -> Column:
-        return F.when(target.contains("://"), target).when(
-            target.startswith("/"), F.concat(own_host, target)
-        )
+    asked, base = [], url
+    for kind, inner in TAG.findall(page):
+        tag, kind = _attributes(inner), kind.lower()
+        if kind == "link" and "canonical" in tag.get("rel", "").lower().split():
+            asked.append(tag.get("href", ""))
+        elif kind == "meta" and tag.get("http-equiv", "").strip().lower() == "refresh":
+            asked += [m.strip("\"'") for m in REFRESH.findall(tag.get("content", ""))]
+        elif kind == "base" and base == url and tag.get("href"):
+            base = _resolved(url, tag["href"]) or url
+    found = [_resolved(base, target) for target in asked]
+    return list(dict.fromkeys(t for t in found if t))
+
+
+def _resolved(base: str, target: str) -> str | None:
+    try:
+        found = urljoin(base, target.strip()) if target.strip() else ""
+    except ValueError:
+        return None
+    return found if "://" in found else None
+
 
-    linked = pages.filter(F.instr("url", "://") > 0).select(
-        F.col("url").alias("a"), F.explode(F.array(tidy(F.col("url")), absolute(canonical), absolute(refresh))).alias("b")
+def page_links(pages: DataFrame) -> DataFrame:
+    """(a, b): each page's url with its tidy form, its canonical links and its refresh targets."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [(u, t) for u, page in zip(*(c.to_pylist() for c in batch.columns)) for t in targets_of(u, page)]
+            columns = [pa.array([p[i] for p in pairs], pa.string()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    named = pages.filter(F.instr("url", "://") > 0)
+    linking = named.filter(F.col("html").rlike("(?i)canonical|refresh")).select("url", "html")
+    linked = named.select(F.col("url").alias("a"), tidy(F.col("url")).alias("b")).unionByName(
+        linking.mapInArrow(read, "a string, b string")
     )
     return linked.filter("b is not null and a <> b").distinct()
 
