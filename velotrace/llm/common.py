@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 # A word is a run of anything but the blank and the control characters from tab to return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,3 +58,16 @@ def unused(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def map_arrow(rows: DataFrame, change, schema: StructType) -> DataFrame:
+    """``rows.mapInArrow(change, schema)`` for column names of any kind, such as those with dots."""
+    names, outer = rows.columns, schema.names
+    plain = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in change(b.rename_columns(names) for b in batches):
+            yield batch.rename_columns(plain.names)
+
+    numbered = rows.toDF(*[f"c{i}" for i in range(len(names))])
+    return numbered.mapInArrow(renamed, plain).toDF(*outer)

@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velotrace.llm.common import map_arrow, unused
 from velotrace.operators.joins import small_side
 from velotrace.session import written
 
@@ -388,7 +389,7 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame, edited: bool = Fal
                 clean = [not index.leaks(t) for t in batch.column("text").to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        return documents.mapInArrow(keep, documents.schema)
+        return map_arrow(documents, keep, documents.schema)
 
     def leaking(index: Index) -> DataFrame:
         def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,4 +408,5 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame, edited: bool = Fal
         texts = leaking(index) if texts is None else texts.unionByName(leaking(index))
     # Null texts have no digest and stay.
     texts = written(texts.distinct(), "benchmark-texts")
-    return documents.join(small_side(texts), digest == F.col("_text"), "left_anti")
+    key = unused(documents, "text_digest")
+    return documents.join(small_side(texts.toDF(key)), digest == F.col(key), "left_anti")

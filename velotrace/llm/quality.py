@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from velotrace.llm.common import map_arrow
+
 #: Labelled rows that training takes at most.
 TRAIN_ROWS = 20_000
 _WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -293,7 +295,9 @@ def fit(documents: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0,
             )
 
     found = rows.mapInArrow(measured, "doc_id long, label int, x array<double>").toPandas()
-    found = found.drop_duplicates("doc_id").sort_values("doc_id")
+    # Of several texts under one id the same is taken in every run.
+    found["order"] = found["x"].map(tuple)
+    found = found.sort_values(["doc_id", "label", "order"]).drop_duplicates("doc_id")
     x = np.array(found["x"].tolist()).reshape(-1, len(MEASURES))
     return train(x, found["label"].to_numpy(dtype=np.float64))
 
@@ -303,12 +307,12 @@ def score(
 ) -> DataFrame:
     """The columns ``keep`` and the score, as ``name``, of every document; needs ``text``."""
     columns = list(dict.fromkeys([*keep, "text"]))
-    rows = documents.select(*columns)
-    kept = rows.select(*keep)
+    rows = documents.select(*[F.col(f"`{c}`") for c in columns])
+    kept = rows.select(*[F.col(f"`{c}`") for c in keep])
 
     def scored(batches):
         for part, x in _measures(batches, list(keep)):
             values = pa.array(model.score(x) if len(x) else [], pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns, values], [*keep, name])
 
-    return rows.mapInArrow(scored, kept.schema.add(name, "double"))
+    return map_arrow(rows, scored, kept.schema.add(name, "double"))

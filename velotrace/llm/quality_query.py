@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotrace.llm import quality
-from velotrace.llm.common import table
+from velotrace.llm.common import table, unused
 
 FOLDS, HELD_OUT, ACCEPT = 5, 0, 0.3
 
@@ -26,5 +26,6 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def accepted(documents: DataFrame, train_on: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that a model fitted on ``train_on`` does not reject, as they are."""
     model = quality.fit(train_on, labels, FOLDS, HELD_OUT)
-    scored = quality.score(documents, model, tuple(documents.columns), "_quality")
-    return scored.filter(F.col("_quality") >= ACCEPT).drop("_quality")
+    name = unused(documents, "score")
+    scored = quality.score(documents, model, tuple(documents.columns), name)
+    return scored.filter(F.col(name) >= ACCEPT).drop(name)

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velotrace.llm import suffixes
+from velotrace.llm.common import unused
 from velotrace.operators.joins import lookup
 from velotrace.session import written
 from velotrace.settings import Settings
@@ -420,12 +421,13 @@ def cleaned(documents: DataFrame, anchor_bytes: int = ANCHOR_BYTES) -> DataFrame
     changed = without_repeats(documents, anchor_bytes).select("text_id", "size", "kept")
     changed = written(changed.dropDuplicates(["text_id", "size"]), "changed-texts")
     text = F.coalesce("text", F.lit(""))
-    keys = {"_text_id": F.xxhash64(text), "_size": F.octet_length(text).cast("long")}
-    table = changed.withColumnsRenamed({"text_id": "_text_id", "size": "_size", "kept": "_kept"})
+    text_id, size, kept = (unused(documents, name) for name in ("text_id", "size", "kept"))
+    keys = {text_id: F.xxhash64(text), size: F.octet_length(text).cast("long")}
+    table = changed.select(F.col("text_id").alias(text_id), F.col("size").alias(size), F.col("kept").alias(kept))
     # Texts are too large to broadcast by their number, and so are spread in smaller groups.
     met = lookup(documents.withColumns(keys), table, list(keys), Settings(group_rows=10_000), small=False)
-    new = {"text": F.coalesce("_kept", "text")}
+    new = {"text": F.coalesce(kept, "text")}
     if "n_chars" in documents.columns:
-        length = F.length("_kept").cast(documents.schema["n_chars"].dataType)
-        new["n_chars"] = F.when(F.col("_kept").isNotNull(), length).otherwise(F.col("n_chars"))
-    return met.withColumns(new).select(*documents.columns)
+        length = F.length(kept).cast(documents.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col(kept).isNotNull(), length).otherwise(F.col("n_chars"))
+    return met.withColumns(new).select(*[F.col(f"`{c}`") for c in documents.columns])
