@@ -281,6 +281,22 @@ def events_by_severity(events: DataFrame) -> DataFrame:
     )
 
 
+def event_rollup(events: DataFrame, levels: Sequence[str] = ("region", "event_type", "severity")) -> DataFrame:
+    """Events counted over ``levels`` and each of their beginnings, up to the total.
+
+    ``depth`` tells how many levels a row is about, so that a null region and the total differ. The
+    finest counts are made first, and only they are repeated for the subtotals.
+    """
+    levels = list(levels)
+    finest = events.groupBy(*levels).agg(F.count("*").alias("events"), F.max("peak_value").alias("highest_peak"))
+    totals = finest.rollup(*levels).agg(
+        F.sum("events").alias("events"), F.max("highest_peak").alias("highest_peak"), F.grouping_id().alias("_id")
+    )
+    # Bits of the levels that a row sums over; they are the last ones.
+    depth = F.lit(len(levels)) - F.bit_count("_id")
+    return totals.select(*levels, depth.cast("int").alias("depth"), "events", "highest_peak")
+
+
 def events_by_file(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Detection per source file in one job: event counts of every file, zero included.
 

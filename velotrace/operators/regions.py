@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velotrace.settings import REGION_INFO, REGION_PREFIXES
+from velotrace.operators.joins import lookup
+from velotrace.session import written
+from velotrace.settings import REGION_INFO, REGION_PREFIXES, Settings
 
 NAME = "device_name"
 _BLANKS = " \t\n\r\f\x0b"
@@ -44,6 +47,33 @@ def region_of(
     return region
 
 
+def region_by_table(df: DataFrame, prefixes: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Rows with the ``region`` of the prefix with the lowest ``ord`` that starts their name.
+
+    ``prefixes(ord, region, prefix)`` may be as large as it likes: every name meets it once by
+    equality for each length that prefixes have, and not prefix by prefix. Each distinct name is
+    matched once. Case and blanks around a name do not matter; of equal orders the first region by
+    name is taken; a row without a prefix fits nothing, an empty prefix every name but null.
+    """
+    if NAME not in df.columns:
+        raise ValueError(f"no column {NAME}")
+    stated = prefixes.filter("prefix is not null").groupBy(F.upper("prefix").alias("_start")).agg(
+        F.min(F.struct("ord", "region")).alias("_owner")
+    )
+    stated = written(stated, "prefixes")
+    # As many lengths as the longest prefix has characters, at most.
+    lengths = stated.agg(F.array_sort(F.collect_set(F.length("_start")))).first()[0]
+    name = F.upper(F.btrim(F.col(NAME), F.lit(_BLANKS)))
+    starts = F.transform(
+        F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length(name)),
+        lambda n: F.substring(name, F.lit(1), n),
+    )
+    names = df.select(NAME).filter(F.col(NAME).isNotNull()).distinct()
+    met = lookup(names.withColumn("_start", F.explode(starts)), stated, ["_start"], settings)
+    found = met.groupBy(NAME).agg(F.min("_owner")["region"].alias("region"))
+    return lookup(df.drop("region"), written(found, "named-regions"), [NAME], settings)
+
+
 def add_region(df: DataFrame, **config) -> DataFrame:
     if NAME not in df.columns:
         raise ValueError(f"no column {NAME}")
