@@ -4,12 +4,13 @@ Every active reading is first added to the last ``window`` readings of its devic
 them, with the rule of the batch detector: the percentile, the dominance over the other axes and the
 distance from the median in MADs of those readings. What is kept of a device is one state of bounded
 size, in the state store of the stream: it survives restarts, and goes when the device has been
-silent for longer than ``silence``.
+silent, in the time of the readings, for longer than ``silence``. Should it come back, it starts anew.
 
 Readings of a device are judged in the order of time and number within a batch of the stream. One
 that is older than the last judged reading of its device cannot be put in its place any more: it is
-left out of the window and of the events, and counted in ``late``. Readings without a device or a
-time are left out.
+left out of the window and of the events, and counted in ``late``. Readings behind the watermark are
+left out before that, and counted in the progress of the stream. Readings without a device or a time
+are left out.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from velotrace.operators.events import AXES, AXIS_EVENTS, active_rows
 from velotrace.schemas import DEVICE
 from velotrace.settings import Settings
+from velotrace.streaming.live import with_event_time
 
 WINDOW, RECENT = 1000, 100
 OUT_SCHEMA = (
@@ -141,12 +143,16 @@ def judge(rows: pd.DataFrame, device_id: int, device: Device, settings: Settings
 
 
 def rolling_events(
-    rows: DataFrame, settings: Settings = Settings(), window: int = WINDOW, silence: int = 86_400
+    rows: DataFrame,
+    settings: Settings = Settings(),
+    window: int = WINDOW,
+    silence: int = 86_400,
+    delay: str = "1 day",
 ) -> DataFrame:
     """Events of a stream of telemetry with accelerometer channels; see ``OUT_SCHEMA``.
 
-    ``recent_events`` counts a device's events so far, up to 100. ``silence`` is in seconds of the
-    cluster's clock.
+    ``recent_events`` counts a device's events so far, up to 100. ``silence`` is in seconds, and
+    begins to count where the watermark stands, ``delay`` behind the latest reading.
     """
     names = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
 
@@ -158,12 +164,15 @@ def rolling_events(
         # The readings of one device in one batch of the stream.
         found = judge(pd.concat(list(batches)), key[0], held, settings)
         state.update((held.pack(),))
-        state.setTimeoutDuration(silence * 1000)
-        yield pd.DataFrame(found, columns=names)
+        until = int((held.last[0] + silence) * 1000)
+        state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+        if found:
+            yield pd.DataFrame(found, columns=names)
 
-    active = active_rows(rows).filter(F.col(DEVICE).isNotNull() & F.col("timestamp").isNotNull())
+    time = F.col("timestamp")
+    active = active_rows(rows).filter(F.col(DEVICE).isNotNull() & time.isNotNull() & ~F.isnan(time))
     columns = ["timestamp", "record_seqnum", *PEAKS, "position_latitude", "position_longitude"]
     known = active.select(F.col(DEVICE).cast("long"), *[F.col(c).cast("double") for c in columns])
-    return known.groupBy(DEVICE).applyInPandasWithState(
-        update, OUT_SCHEMA, "packed binary", "append", GroupStateTimeout.ProcessingTimeTimeout
+    return with_event_time(known).withWatermark("event_time", delay).groupBy(DEVICE).applyInPandasWithState(
+        update, OUT_SCHEMA, "packed binary", "append", GroupStateTimeout.EventTimeTimeout
     )
