@@ -539,13 +539,15 @@ def blocks_of(keyed: DataFrame, percent: int) -> DataFrame:
     """(key, doc_id, n, label) to (key, i, j, side, doc_id, label).
 
     Each key's documents are ordered by size and cut into blocks, those of its largest label apart
-    from the others; each pair of blocks that sizes allow to link, and that are not both of the
-    largest label, gets the rows of both.
+    from the others if they fill a block; each pair of blocks that sizes allow to link, and that are
+    not both of the largest label, gets the rows of both.
     """
     keyed = written(keyed, "keyed-rows")
     sizes = keyed.groupBy("key", "label").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "label"))["label"].alias("largest"))
-    rows = lookup(keyed, written(largest, "largest"), ["key"]).withColumn("inner", F.col("label") == F.col("largest"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top")).filter(F.col("top.size") >= BLOCK)
+    largest = written(largest.select("key", F.col("top.label").alias("largest")), "largest")
+    inner = F.coalesce(F.col("label") == F.col("largest"), F.lit(False))
+    rows = lookup(keyed, largest, ["key"]).withColumn("inner", inner)
     # Keys of many rows are numbered in parts.
     placed = scan(ordered(rows.drop("largest"), ["key", "inner"], ["n", "doc_id"]), place=row_count()).done()
     block = F.floor((F.col("place") - 1) / BLOCK).cast("int")
