@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velotrace.checks.telemetry_queries import REGION_CASE
+from velotrace.checks import event_queries
+from velotrace.checks.event_queries import trips_with_accel
+from velotrace.checks.telemetry_queries import REGION_CASE, with_day
 from velotrace.checks.views import duck, telemetry
-from velotrace.operators import regions
+from velotrace.operators import events, regions
+from velotrace.schemas import ACCEL_CHANNELS
 from velotrace.session import new_path
-from velotrace.sources import quarantine, sinks
+from velotrace.sources import quarantine, sinks, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -94,3 +98,51 @@ def quarantined_files(spark, d):
         for kind in ("csv", "parquet")
     ]
     return parts[0].unionByName(parts[1]).distinct()
+
+
+# ---- raw channels, files per device, days ---------------------------------------------------
+
+
+@query("abnormal_events_of_raw_channels", event_queries.SQL["abnormal_events"])
+def abnormal_events_of_raw_channels(spark, d):
+    """Detection on rows whose channels still have the device's names."""
+    raw = {name: channel for channel, name in ACCEL_CHANNELS.items()}
+    return events.abnormal_events(trips_with_accel(spark, d).withColumnsRenamed(raw))
+
+
+@query("events_of_device_files", event_queries.SQL["events_by_file"])
+def events_of_device_files(spark, d):
+    """Detection per stored file, of which there is one for each device."""
+    path = new_path(spark, "device-files")
+    rows = trips_with_accel(spark, d).withColumn("of", F.col("device_id"))
+    rows.repartition("of").write.partitionBy("of").parquet(path)
+    stored = spark.read.parquet(path).drop("of").withColumn("source_file", F.col("_metadata.file_path"))
+    device = F.regexp_extract("source_file", "/of=([^/]*)/", 1)
+    found = events.events_by_file(stored)
+    return found.select(F.concat(F.lit("device-"), device).alias("source_file"), "events_detected")
+
+
+@query(
+    "stored_days",
+    duck("""SELECT strftime(day, '%Y-%m-%d') AS date, count(*) AS rows, CAST(sum(record_seqnum) AS BIGINT) AS total,
+      count(device_name) AS named, round(sum(position_speed), 3) AS speed FROM
+      (SELECT *, CAST(make_timestamp(timestamp * 1000000) AS DATE) AS day FROM telemetry) GROUP BY ALL"""),
+)
+def stored_days(spark, d):
+    """The telemetry in dated CSV folders, each read back on its own."""
+    path = new_path(spark, "stored-days")
+    sinks.write_days(with_day(telemetry(spark, d)), path)
+    found = []
+    # One entry per day there is.
+    for day in tables.days_in(spark, path):
+        rows = tables.read_day_folder(spark, path, day, "csv")
+        found.append(
+            rows.agg(
+                F.lit(str(day)).alias("date"),
+                F.count("*").alias("rows"),
+                F.sum("record_seqnum").cast("long").alias("total"),
+                F.count("device_name").alias("named"),
+                F.round(F.sum("position_speed"), 3).alias("speed"),
+            )
+        )
+    return reduce(DataFrame.unionByName, found)

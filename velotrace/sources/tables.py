@@ -66,21 +66,24 @@ def read_slices(
     region: str | None = None,
     day: date | None = None,
     schema: T.StructType | None = None,
+    required: bool = False,
 ) -> DataFrame:
     """A table in ``region=``/``date=`` folders; only the folders asked for are listed and read.
 
     Columns are those of all files read, with null where a file lacks one. Without a ``schema`` a
     root that does not exist is an error; with one, it gives an empty table. Slices that do not
-    exist give no rows.
+    exist give no rows, or are an error if they are ``required``.
     """
     root = root.rstrip("/")
+    asked = f"{root}/region={'*' if region is None else region}/date={'*' if day is None else day}"
+    if required and not exists(spark, asked):
+        raise FileNotFoundError(f"no slice {asked}")
     if schema is not None and not exists(spark, root):
         return spark.createDataFrame([], schema)
     reader = spark.read.option("basePath", root)
     reader = reader.schema(schema) if schema else reader.option("mergeSchema", True)
     path = root
     if region is not None or day is not None:
-        asked = f"{root}/region={'*' if region is None else region}/date={'*' if day is None else day}"
         path = asked if exists(spark, asked) else root
     df = reader.parquet(path)
     if region is not None:
