@@ -105,6 +105,10 @@ def test_slices_are_replaced_one_by_one(spark, tmp_path):
     assert sorted(r.v for r in tables.read_slices(spark, out).collect()) == [1, 8, 9]
     plan = tables.read_slices(spark, out, "a", DAY)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(region" in plan
+    assert tables.read_slices(spark, out, "missing", DAY).count() == 0
+    with pytest.raises(FileNotFoundError, match="region=missing"):
+        tables.read_slices(spark, out, "missing", DAY, required=True)
+    assert tables.read_slices(spark, out, "a", DAY, required=True).count() == 1
 
 
 def test_empty_tables(spark, tmp_path):
