@@ -11,7 +11,9 @@ kept. The order puts n-grams that many documents hold last.
    where they meet: they give pairs, whose counts are summed over columns, and pairs below the
    bound that their sizes set go. Two pairs of each class are verified first, and then only pairs
    that are not yet connected, so that copies of one text are not all compared with each other.
-3. Columns with many entries give a few pivots each, the same for columns of the same classes.
+3. Columns with many entries give a few pivots each, the same for columns of the same classes. They
+   matter only to classes with enough of such entries to link by them alone: two sets that link
+   share more kept entries than ``spare``, so others meet every partner in a short column as well.
    Classes that already link through pivots and pairs need no other link, so only columns that
    still hold different components are cut into blocks by size, and each pair of blocks whose sizes
    allow a link is multiplied whole in one task, which returns links and no other pairs. Classes of
@@ -358,6 +360,7 @@ def keyed(low: np.ndarray) -> np.ndarray:
 
 def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of doc_ids that may link by the bits (doc_id, n, bits) of their sets."""
+    sketches = of_ids(sketches, ends(pairs))
     second = pairs.join(sketches.withColumnsRenamed({"doc_id": "b", "n": "nb", "bits": "bits_b"}), "b")
     both = second.join(sketches.withColumnRenamed("doc_id", "a"), "a").select("a", "b", "n", "bits", "nb", "bits_b")
 
@@ -376,6 +379,18 @@ def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(check, "a long, b long")
 
 
+def of_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is among these distinct ids, so that no others are shuffled later."""
+    if fits(ids, Settings().broadcast_rows):
+        ids = F.broadcast(ids)
+    return rows.join(ids, "doc_id", "left_semi")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    """The distinct doc_ids of pairs (a, b)."""
+    return written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ends")
+
+
 def packed_texts(texts: DataFrame) -> DataFrame:
     """(doc_id, packed): texts in compressed form, for shuffling."""
 
@@ -395,6 +410,7 @@ def unpacked(packed: bytes) -> bytes:
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of doc_ids whose whole sets link."""
+    texts = of_ids(texts, ends(pairs))
     second = pairs.join(texts.withColumnsRenamed({"doc_id": "b", "packed": "packed_b"}), "b")
     both = second.join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "b", "packed", "packed_b")
 
@@ -625,6 +641,13 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH, percent: int =
     )
     pairs = counted.filter(F.col("shared") >= at_least).select("a", "b")
 
+    # Sets a and b that link share at least ``needed`` of the larger, and so 1 + spare(smaller) +
+    # needed(larger) - needed(smaller) kept entries, which is spare(n) or more for the n of either.
+    # One with fewer entries in long columns shares a short one with each partner: pairs has it.
+    enough = uncounted.join(long_entries.select("class", "n").distinct(), "class")
+    enough = enough.filter(F.col("long") >= F.floor(F.col("n") / SPARE)).select("class")
+    long_entries = written(long_entries.join(enough, "class", "left_semi"), "needed-entries")
+
     by_hash = F.struct(F.xxhash64("class").alias("rank"), F.col("class"))
     pivots = long_entries.groupBy("gram").agg(
         F.min("class").alias("p1"), F.max("class").alias("p2"), F.min(by_hash)["class"].alias("p3")
@@ -645,16 +668,12 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH, percent: int =
     likely = written(possible(first, sketches, percent), "possible")
 
     # Texts that may be needed, of pairs or of rows of long columns, are shuffled once.
-    wanted = (
-        asked.select(F.explode(F.array("a", "b")).alias("doc_id"))
-        .unionByName(long_entries.join(ids, "class").select("doc_id"))
-        .distinct()
-    )
+    wanted = ends(asked).unionByName(long_entries.join(ids, "class").select("doc_id")).distinct()
     wanted = written(wanted, "wanted")
     if fits(wanted, Settings().broadcast_rows):
-        texts = packed_texts(texts.join(F.broadcast(wanted), "doc_id", "left_semi"))
+        texts = packed_texts(of_ids(texts, wanted))
     else:
-        texts = packed_texts(texts).join(wanted, "doc_id", "left_semi")
+        texts = of_ids(packed_texts(texts), wanted)
     texts = written(texts, "texts")
     edges = written(verified(likely, texts, width, percent), "links")
     joined = written(components(edges), "first-components")
