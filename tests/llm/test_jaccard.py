@@ -140,3 +140,17 @@ def test_near_copies_that_only_link_in_a_chain(frame, monkeypatch, small):
             text[at : at + 2] = [f"n{rng.randrange(10**6)}", f"n{rng.randrange(10**6)}"]
     got = sorted(map(tuple, jaccard.jaccard_components(documents(frame, rows)).collect()), key=str)
     assert got == by_all_pairs(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_sets_with_few_long_entries_share_a_short_one(percent):
+    """What ``needed-entries`` rests on: linked sets share at least spare(n) kept entries, for the n of either."""
+
+    def outside(n):
+        return jaccard.needed(n, percent) - 1 - jaccard.spare(n)
+
+    for a in range(1, 400):
+        for b in range(a, 100 * a // percent + 1):
+            # Linked sets share this much at least, and the set that ends first may hold some outside.
+            shared = jaccard.needed(b, percent) - max(outside(a), outside(b))
+            assert shared >= 1 and shared >= jaccard.spare(a) and shared >= jaccard.spare(b)
