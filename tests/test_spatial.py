@@ -54,3 +54,24 @@ def test_all_copies_count(spark):
     index = spatial.index_places(points, 50.0, ["w"], Settings(cell_points=4))
     row = spatial.totals_within(points.select("lat", "lon").distinct(), index, ["w"]).first()
     assert (row.rows, row.w) == (500, 1000.0)
+
+
+def test_most_places_are_found_without_refined_cells(spark, monkeypatch):
+    r = random.Random(3)
+    spread = [(51 + r.random() * 0.02, r.random() * 0.02) for _ in range(4000)]
+    # One flat cell is crowded; it must still be searched.
+    crowd = [(51.01 + r.random() * 1e-7, 0.01 + r.random() * 1e-7) for _ in range(1500)]
+    points = spark.createDataFrame(spread + crowd, "lat double, lon double")
+    queries = [(51 + r.random() * 0.02, r.random() * 0.02) for _ in range(300)] + [(51.01, 0.01), (51.5, 0.0)]
+    refined, asked = spatial._refined, []
+    monkeypatch.setattr(spatial, "_refined", lambda q, i: asked.append((q.count(), i.places.count())) or refined(q, i))
+    index = spatial.index_places(points, 100.0)
+    found = spatial.nearest(spark.createDataFrame(queries, "lat double, lon double"), index).collect()
+    assert len(asked) == 1 and asked[0][0] < 30 and asked[0][1] < len(spread) + len(crowd)
+    p = np.radians(np.array(spread + crowd))
+    near = {(x.lat, x.lon): x.near_m for x in found}
+    assert set(near) == set(queries[:-1])
+    for lat, lon in near:
+        la, lo = np.radians([lat, lon])
+        a = np.sin((p[:, 0] - la) / 2) ** 2 + np.cos(la) * np.cos(p[:, 0]) * np.sin((p[:, 1] - lo) / 2) ** 2
+        assert near[(lat, lon)] == pytest.approx((2 * 6371000 * np.arcsin(np.sqrt(a))).min(), abs=1e-6)

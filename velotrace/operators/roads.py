@@ -38,18 +38,17 @@ FIRST_RADIUS_M = 100.0
 
 @dataclass(frozen=True)
 class Roads:
-    """Road points with an index for the first search; wider searches index them anew."""
+    """Road points with an index for the first search, which wider searches widen."""
 
-    points: DataFrame
     index: PlaceIndex
     limit_m: float | None
     settings: Settings
 
 
 def road_index(road_points: DataFrame, settings: Settings = Settings()) -> Roads:
-    points = road_points.select("lat", "lon")
     radius = FIRST_RADIUS_M if settings.snap_radius_m is None else settings.snap_radius_m
-    return Roads(points, index_places(points, radius, (), settings), settings.snap_radius_m, settings)
+    index = index_places(road_points.select("lat", "lon"), radius, (), settings)
+    return Roads(index, settings.snap_radius_m, settings)
 
 
 def nearest_roads(places: DataFrame, roads: Roads | SegmentIndex) -> DataFrame:
@@ -61,7 +60,7 @@ def nearest_roads(places: DataFrame, roads: Roads | SegmentIndex) -> DataFrame:
     if isinstance(roads, SegmentIndex):
         return nearest_on_roads(places, roads)
     found = written(nearest(places, roads.index), "snapped")
-    if roads.limit_m is not None or roads.points.isEmpty():
+    if roads.limit_m is not None or roads.index.places.isEmpty():
         return found
     parts, radius = [found], roads.index.grid.radius_m
     places = places.filter("lat is not null and lon is not null")
@@ -70,7 +69,7 @@ def nearest_roads(places: DataFrame, roads: Roads | SegmentIndex) -> DataFrame:
         if places.isEmpty() or radius > pi * EARTH_RADIUS_M:
             return reduce(DataFrame.unionByName, parts)
         radius = radius * 8
-        found = written(nearest(places, index_places(roads.points, radius, (), roads.settings)), "snapped")
+        found = written(nearest(places, roads.index.wider(radius)), "snapped")
         parts.append(found)
 
 

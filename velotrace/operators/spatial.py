@@ -4,21 +4,27 @@ Places are kept in grid cells one search radius wide. A cell of at most ``cell_p
 holds them in its row; a fuller cell holds only its occupied sub-cells, with their bounds and
 totals, and those are cells of the next level. A query joins the few cells around it, one row per
 cell, and looks inside the row. Of a full cell it follows only the sub-cells that can still change
-its result. So no pairs of rows are emitted, and no cell row grows with the data.
+its result. So no cell row grows with the data.
+
+Most nearest places are found without that. Places are also dealt to flat cells, so small that few
+share one, and a query looks for places within half a cell's width, in the four cells around it.
+What it finds there is nearest of all. Cells that hold too many places are not looked into, and
+queries that find nothing, or that are near such a cell, go the way through the refined cells, of
+which only those are made that such queries can reach.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import dataclass, replace
+from functools import cached_property, reduce
 from math import degrees, pi, sin
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velotrace.functions.geo import EARTH_RADIUS_M, arc, chord
-from velotrace.operators.joins import lookup
+from velotrace.operators.joins import lookup, small_side
 from velotrace.session import written
 from velotrace.settings import Settings
 
@@ -27,6 +33,17 @@ SPLIT_BITS = 3
 LEVELS = 12
 # Bounds are widened by this share, so that rounding never hides a place.
 SLACK = 1e-9
+# Flat cells: most halvings of a width, least places to share one on average, cells of how many
+# times ``cell_points`` places are not looked into, and looks at twice the width of the one before.
+MOST_HALVINGS = 30
+LEAST_SHARED = 4
+CROWDED = 8
+LOOKS = 3
+# Of so many places or more, only some cells are counted to find out how many places share one.
+COUNTED = 200_000
+# Nearer to a pole, and wider, a circle meets more than a few cells.
+FLAT_LAT = 85.0
+FLAT_REACH_M = 1_000_000.0
 
 
 @dataclass(frozen=True)
@@ -67,13 +84,50 @@ class Grid:
 
 @dataclass(frozen=True)
 class PlaceIndex:
-    """Cell tables by level, and how many places and sub-cells each table lists in all."""
+    """Merged places, and their cell tables by level, made when first needed."""
 
     grid: Grid
-    levels: tuple[DataFrame, ...]
-    entries: tuple[int, ...]
+    places: DataFrame
+    sums: tuple[str, ...]
     settings: Settings
 
+    @cached_property
+    def levels(self) -> tuple[DataFrame, ...]:
+        return self._tree[0]
+
+    @cached_property
+    def entries(self) -> tuple[int, ...]:
+        """How many places and sub-cells each table lists in all."""
+        return self._tree[1]
+
+    @cached_property
+    def _tree(self) -> tuple[tuple[DataFrame, ...], tuple[int, ...]]:
+        return _cell_tables(self.celled(), self.sums, self.settings)
+
+    def celled(self) -> DataFrame:
+        """The places with their finest cells."""
+        row, column = self.grid.leaf(F.col("lat"), F.col("lon"))
+        return self.places.withColumns({"_row": row, "_column": column})
+
+    def wider(self, radius_m: float) -> "PlaceIndex":
+        """The same places for another radius."""
+        return replace(self, grid=Grid(radius_m))
+
+    @cached_property
+    def halvings(self) -> int:
+        """How often a width of twice the radius is halved until few places share a flat cell."""
+        few, one_of = max(LEAST_SHARED, self.settings.cell_points // 10), max(1, self.places.count() // COUNTED)
+        sides = Grid(2 * self.grid.radius_m).leaf(F.col("lat"), F.col("lon"))
+        placed = self.places.select(sides[0].alias("_row"), sides[1].alias("_column"))
+        placed = placed.select("*", F.explode(F.sequence(F.lit(0), F.lit(MOST_HALVINGS))).alias("times"))
+        shift = SPLIT_BITS * (LEVELS - 1)
+        key = F.expr(f"xxhash64(times, shiftright(_row, {shift} - times), shiftright(_column, {shift} - times))")
+        # The cells that are counted are counted with all their places.
+        counted = placed.select("times", key.alias("key")).filter(F.pmod("key", F.lit(one_of)) == 0)
+        counted = counted.groupBy("times", "key").count()
+        found = counted.groupBy("times").agg(F.avg("count").alias("shared")).filter(F.col("shared") <= few)
+        return found.agg(F.min("times")).first()[0] or 0
+
 
 def index_places(
     places: DataFrame,
@@ -82,16 +136,18 @@ def index_places(
     settings: Settings = Settings(),
 ) -> PlaceIndex:
     """Index rows ``(lat, lon, *totals)``; rows at one place are merged and their totals added."""
-    grid = Grid(radius_m)
     located = places.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     merged = located.groupBy("lat", "lon").agg(
         F.count("*").alias("rows"), *[F.sum(t).alias(t) for t in totals]
     )
-    sums = ["rows", *totals]
-    row, column = grid.leaf(F.col("lat"), F.col("lon"))
-    merged = merged.withColumns({"_row": row, "_column": column, "cos": F.cos(F.radians("lat"))})
-    current = written(merged, "places")
+    merged = merged.withColumn("cos", F.cos(F.radians("lat")))
+    return PlaceIndex(Grid(radius_m), written(merged, "places"), ("rows", *totals), settings)
+
 
+def _cell_tables(
+    current: DataFrame, sums: Sequence[str], settings: Settings
+) -> tuple[tuple[DataFrame, ...], tuple[int, ...]]:
+    """The cells of each level, and how many places and sub-cells each level lists."""
     levels, entries = [], []
     for level in range(LEVELS):
         last = level == LEVELS - 1
@@ -134,7 +190,7 @@ def index_places(
         if dense is None:
             break
         current = written(dense.drop("row", "column", "_full"), "places")
-    return PlaceIndex(grid, tuple(levels), tuple(entries), settings)
+    return tuple(levels), tuple(entries)
 
 
 def _cell(level: int, prefix: str = "") -> list[Column]:
@@ -253,6 +309,79 @@ def nearest(queries: DataFrame, index: PlaceIndex) -> DataFrame:
     Returns ``(lat, lon, near_lat, near_lon, near_m)``; queries without one are left out. Of
     places at the same distance the one with the smaller latitude, then longitude, is taken.
     """
+    found, left = [], written(queries.select("lat", "lon").distinct(), "queries")
+    for halvings in range(index.halvings, max(index.halvings - LOOKS, -1), -1):
+        if index.grid.radius_m / 2**halvings > FLAT_REACH_M or left.isEmpty():
+            break
+        near, left = _look(left, index, halvings, again=bool(found))
+        found.append(near)
+    if found and left.isEmpty():
+        return _nearest_rows(found)
+    # Only places in cells around the rest can be near to it.
+    around = _start(left, index.grid).select("row", "column").distinct()
+    reached = index.celled().select("*", *_cell(0)).join(around, ["row", "column"], "left_semi")
+    reached = written(reached.select(*index.places.columns), "places-around")
+    return _nearest_rows([*found, _refined(left, replace(index, places=reached))])
+
+
+def _nearest_rows(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts).select(
+        "lat",
+        "lon",
+        F.col("_best.lat").alias("near_lat"),
+        F.col("_best.lon").alias("near_lon"),
+        F.col("_best.m").alias("near_m"),
+    )
+
+
+def _look(
+    queries: DataFrame, index: PlaceIndex, halvings: int, again: bool
+) -> tuple[DataFrame, DataFrame]:
+    """The nearest place of each query that has one within half the width of a flat cell, and the
+    queries for which that does not tell. Those of a look ``again`` are few, and so are their cells."""
+    wide, circle = Grid(2 * index.grid.radius_m), Grid(index.grid.radius_m / 2**halvings)
+    high, away = wide.height_deg / 2**halvings, circle.height_deg
+    lat, lon, count = F.col("lat"), F.col("lon"), F.col("_count")
+    rows = F.sequence(F.floor((lat - away + 90) / high), F.floor((lat + away + 90) / high))
+    first = F.floor((lon - F.col("_wide") + 180) / 360 * count)
+    last = F.floor((lon + F.col("_wide") + 180) / 360 * count)
+    looked = (
+        queries.filter(F.abs(lat) <= FLAT_LAT)
+        .select("lat", "lon", F.cos(F.radians(lat)).alias("_cos"), circle.spread(lat).alias("_wide"), F.explode(rows).alias("row"))
+        .withColumn("_count", wide.columns(F.shiftright("row", halvings)) * (1 << halvings))
+        .withColumn("_c", F.explode(F.sequence(first, F.least(last, first + count - 1))))
+        .select("lat", "lon", "_cos", (lon - F.floor(F.col("_c") / count) * 360.0).alias("_lon"), "row", F.pmod("_c", count).alias("column"))
+    )
+    sides = [F.shiftright(x, SPLIT_BITS * (LEVELS - 1) - halvings) for x in wide.leaf(lat, lon)]
+    placed = index.places.select(
+        sides[0].alias("row"), sides[1].alias("column"), lat.alias("_plat"), lon.alias("_plon"), F.col("cos").alias("_pcos")
+    )
+    if again:
+        looked = written(looked, "looked")
+        placed = written(placed.join(looked.select("row", "column").distinct(), ["row", "column"], "left_semi"), "places-looked")
+    crowded = placed.groupBy("row", "column").count().filter(F.col("count") > CROWDED * index.settings.cell_points)
+    crowded = written(crowded.select("row", "column"), "crowded-cells")
+    unsure = None
+    if not crowded.isEmpty():
+        few = small_side(crowded, index.settings)
+        placed = placed.join(few, ["row", "column"], "left_anti")
+        unsure = written(looked.join(few, ["row", "column"], "left_semi").select("lat", "lon").distinct(), "unsure")
+        looked = looked.join(unsure, ["lat", "lon"], "left_anti")
+    term = chord(F.col("_plat") - lat, F.col("_plon") - F.col("_lon"), F.col("_cos"), F.col("_pcos"))
+    near = looked.join(placed, ["row", "column"]).withColumn("m", arc(term, known=True))
+    near = near.filter(F.col("m") <= circle.radius_m)
+    best = F.min(F.struct("m", F.col("_plat").alias("lat"), F.col("_plon").alias("lon"))).alias("_best")
+    near = written(near.groupBy("lat", "lon").agg(best), "nearest-found")
+    left = queries.join(near, ["lat", "lon"], "left_anti")
+    if not halvings:
+        # The circle was the whole one.
+        not_looked = left.filter(F.abs(lat) > FLAT_LAT)
+        left = not_looked if unsure is None else not_looked.unionByName(unsure)
+    return near, written(left, "unsettled")
+
+
+def _refined(queries: DataFrame, index: PlaceIndex) -> DataFrame:
+    """The nearest place within the radius of each query, by the refined cells."""
     radius = F.lit(index.grid.radius_m)
     point = F.col("lat"), F.col("_lon")
 
@@ -313,17 +442,7 @@ def nearest(queries: DataFrame, index: PlaceIndex) -> DataFrame:
             .select("lat", "lon", F.col("_best").alias("_so_far"), F.explode("_next").alias("_c"))
             .select("lat", "lon", "_so_far", "_c.row", "_c.column", *[f"_c.{c}" for c in _QUERY[2:]])
         )
-    return (
-        reduce(DataFrame.unionByName, results)
-        .filter(F.col("_best.m") <= radius)
-        .select(
-            "lat",
-            "lon",
-            F.col("_best.lat").alias("near_lat"),
-            F.col("_best.lon").alias("near_lon"),
-            F.col("_best.m").alias("near_m"),
-        )
-    )
+    return reduce(DataFrame.unionByName, results).filter(F.col("_best.m") <= radius)
 
 
 def totals_within(queries: DataFrame, index: PlaceIndex, totals: Sequence[str]) -> DataFrame:
