@@ -64,6 +64,20 @@ def test_crowded_cells_are_made_smaller(frame):
     assert index.grid.cell_m < segments.FIRST_CELL_M
 
 
+def test_long_crossing_segments_are_not_cut_without_end(frame):
+    rng = random.Random(5)
+    spot = lambda: (51 + rng.random() * 0.002, rng.random() * 0.003)
+    lines = frame(VERTICES, *[(r, s, *spot()) for r in range(1500) for s in (0, 1)])
+    index = segments.segment_index(lines, Settings(cell_points=32))
+    assert index.pieces.count() < 80 * 1500
+    places = [spot() for _ in range(40)]
+    rows = [r[2:] for r in segments.road_segments(lines).collect()]
+    got = {(r.lat, r.lon): r.near_m for r in segments.nearest_on_roads(frame(PLACES, *places), index).collect()}
+    assert len(got) == 40
+    for place, near_m in got.items():
+        assert near_m == pytest.approx(brute(*place, rows), rel=1e-9, abs=1e-6)
+
+
 def test_a_limit_and_no_roads(frame):
     lines = frame(VERTICES, (1, 0, 51.0, 0.0), (1, 1, 51.0, 0.1))
     near = Settings(snap_radius_m=150.0)

@@ -2,13 +2,15 @@
 
 A segment is cut at the rows of a latitude grid, and each piece is listed under the cells of its
 row that it crosses, so a long segment is found from every cell it passes through. The cells are so
-small that none holds more than ``cell_points`` pieces, if there is such a size. Eight by eight
-cells make a cell of the next level, which knows one of the segments that cross it, up to cells as
-wide as the globe.
-
-A position looks for pieces within the width of one cell. What it finds within that distance is
-nearest of all, since any nearer place would be in the same cells. Positions that find nothing look
-at wider and wider cells, whose segments bound the distance; then they go down again, level by
+small that none holds more than ``cell_points`` pieces, unless segments would be cut into too many
+pieces for that: where many long segments cross, smaller cells add more pieces than they spare looks.
+Eight by eight cells make a cell of the next level, which knows one of the segments that cross it,
+up to cells as wide as the globe.
+
+A position looks for pieces within a quarter of the width of one cell, first among a few segments,
+which bound the distance, and then within the bound among all. Then it looks within the whole width.
+What it finds within that distance is nearest of all, since any nearer place would be in the same
+cells. Positions that find nothing look at wider and wider cells, whose segments bound the distance; then they go down again, level by
 level, into the cells that can hold something nearer than the bound, and at last to their pieces.
 
 The nearest place on a segment is found in the plane with longitudes shortened by the cosine of the
@@ -33,6 +35,8 @@ from velotrace.settings import Settings
 FIRST_CELL_M = 100.0
 LEAST_CELL_M = 1.0
 WIDER = 8
+# One of so many segments gives bounds.
+ONE_OF = 32
 SEGMENT = ["road_id", "seq", "lat1", "lon1", "lat2", "lon2"]
 
 
@@ -64,12 +68,12 @@ class Grid:
         fit = F.floor(360 * F.cos(F.radians(F.least(edge, F.lit(90.0)))) / high)
         return F.greatest(F.lit(1), fit).cast("long") * WIDER ** (self.top - level)
 
-    def cells(self, row: Column, low: Column, high: Column, level: int = 0) -> Column:
-        """The cells of a row between two longitudes, which may pass 180 degrees."""
-        n = self.columns(row, level)
+    def with_cells(self, rows: DataFrame, low: Column, high: Column, level: int = 0) -> DataFrame:
+        """Rows with each ``cell`` of their ``row`` between two longitudes, which may pass 180 degrees."""
+        n = self.columns(F.col("row"), level)
         first, last = F.floor((low + 180) * n / 360), F.floor((high + 180) * n / 360)
-        every = F.transform(F.sequence(first, F.least(last, first + n - 1)), lambda c: F.pmod(c, n))
-        return F.array_distinct(every)
+        every = F.explode(F.sequence(first, F.least(last, first + n - 1)))
+        return rows.withColumn("cell", every).withColumn("cell", F.pmod("cell", n))
 
     def least_m(self, level: int) -> Column:
         """No more than the distance from a position (lat, lon) to the cell (row, cell)."""
@@ -139,18 +143,22 @@ def pieces(segments: DataFrame, grid: Grid) -> DataFrame:
     ends = [F.col("lon1") + F.col("_turn") * F.coalesce(x, F.lit(d)) for x, d in ((south, 0.0), (north, 1.0))]
     # Rounding must not part a piece from the cells it only touches.
     slack = high * 1e-6
-    cells = grid.cells(F.col("row"), F.least(*ends) - slack, F.greatest(*ends) + slack)
-    return cut.withColumn("cell", F.explode(cells)).select("row", "cell", *SEGMENT)
+    cells = grid.with_cells(cut, F.least(*ends) - slack, F.greatest(*ends) + slack)
+    return cells.select("row", "cell", *SEGMENT)
 
 
 def finest(segments: DataFrame, settings: Settings) -> Grid:
-    """The widest grid whose fullest cell is not too full, or the narrowest allowed."""
-    cell_m = FIRST_CELL_M
+    """The widest grid whose fullest cell is not too full, or in whose cells a piece meets no more
+    others than its segment's pieces are worth, or the narrowest allowed."""
+    # Looking at a piece takes much less than making it.
+    cell_m, of, worth = FIRST_CELL_M, segments.count(), settings.cell_points / 8
     while cell_m > LEAST_CELL_M:
-        fullest = pieces(segments, Grid(cell_m)).groupBy("row", "cell").count().agg(F.max("count")).first()[0]
-        if (fullest or 0) <= settings.cell_points:
+        n = F.col("count").cast("double")
+        cells = pieces(segments, Grid(cell_m)).groupBy("row", "cell").count()
+        fullest, in_all, met = cells.agg(F.max(n), F.sum(n), F.sum(n * n)).first()
+        if (fullest or 0) <= settings.cell_points or met / in_all <= worth * in_all / of:
             break
-        cell_m /= 4
+        cell_m /= 2
     return Grid(cell_m)
 
 
@@ -175,17 +183,48 @@ def foot(lat: Column, lon: Column) -> tuple[Column, Column]:
     return F.col("lat1") + dy * share, turn(near_lon)
 
 
-def _looked(places: DataFrame, grid: Grid, level: int) -> DataFrame:
-    """The places with every (row, cell) of a level that is within the width of a cell."""
-    away = degrees(grid.width_m(level) / EARTH_RADIUS_M)
+def _looked(places: DataFrame, grid: Grid, level: int, part: float = 1.0, within_m: Column | None = None) -> DataFrame:
+    """The places with every (row, cell) of a level that is within a part of the width of a cell, or
+    within a column's metres, if they are fewer."""
+    most = degrees(grid.width_m(level) * part / EARTH_RADIUS_M)
+    away = F.lit(most) if within_m is None else F.least(F.lit(most), F.degrees(within_m / EARTH_RADIUS_M) * (1 + 1e-9) + 1e-12)
     south, north = F.greatest(F.col("lat") - away, F.lit(-90.0)), F.least(F.col("lat") + away, F.lit(90.0))
     rows = F.sequence(grid.row(south, level), grid.row(north, level))
     # How far east and west a circle reaches; around a pole, all the way.
-    spread = F.sin(F.radians(F.lit(min(away, 90.0)))) / F.cos(F.radians("lat"))
+    spread = F.sin(F.radians(F.least(away, F.lit(90.0)))) / F.cos(F.radians("lat"))
     east = F.when((spread < 1) & (F.abs("lat") + away < 90), F.degrees(F.asin(spread))).otherwise(180.0)
     looked = places.withColumn("row", F.explode(rows))
-    cells = grid.cells(F.col("row"), F.col("lon") - east, F.col("lon") + east, level)
-    return looked.withColumn("cell", F.explode(cells))
+    return grid.with_cells(looked, F.col("lon") - east, F.col("lon") + east, level)
+
+
+def _may_be_within(metres: Column) -> Column:
+    """False only where the whole line through a segment is farther from the position. It costs much
+    less than the nearest place; the plane is near enough to the globe but at the poles."""
+    shrink = F.cos(F.radians("lat"))
+    x, y = turn(F.col("lon1") - F.col("lon")) * shrink, F.col("lat1") - F.col("lat")
+    dx, dy = F.col("_turn") * shrink, F.col("lat2") - F.col("lat1")
+    limit = metres * (degrees(1 / EARTH_RADIUS_M) * 1.01) + 1e-11
+    return (F.abs(x * dy - y * dx) <= limit * F.sqrt(dx * dx + dy * dy)) | (F.abs("lat") > 89)
+
+
+def _close(places: DataFrame, index: SegmentIndex) -> DataFrame:
+    """The nearest of each place that has a road within a quarter of the width of a cell."""
+    grid = index.grid
+    reach = F.lit(grid.cell_m / 4)
+    # Pieces are many even where their table is small.
+    every = index.pieces.withColumn("_turn", turn(F.col("lon2") - F.col("lon1")))
+    some = every.filter(F.pmod(F.xxhash64("road_id", "seq"), F.lit(ONE_OF)) == 0).hint("merge")
+    met = _looked(places, grid, 0, 1 / 4).join(some, ["row", "cell"]).filter(_may_be_within(reach))
+    # Written, as measuring in the join itself makes code that is too long to be compiled.
+    met = written(met.select("lat", "lon", *SEGMENT), "pieces-met")
+    bounds = _measured(met).filter(F.col("near_m") <= reach).groupBy("lat", "lon").agg(F.min("near_m").alias("bound_m"))
+    # Rounding must not part a place from the segment that gave its bound.
+    bound = F.least(F.coalesce(F.col("bound_m") * (1 + 1e-9) + 1e-6, reach), reach)
+    bounded = places.join(written(bounds, "road-bounds"), ["lat", "lon"], "left").withColumn("bound_m", bound)
+    looked = _looked(written(bounded, "bounded-places"), grid, 0, 1 / 4, F.col("bound_m"))
+    met = looked.join(every.hint("merge"), ["row", "cell"]).filter(_may_be_within(F.col("bound_m")))
+    met = written(met.select("lat", "lon", *SEGMENT), "pieces-met")
+    return _best(_measured(met)).filter(F.col("near_m") <= reach)
 
 
 def _measured(met: DataFrame) -> DataFrame:
@@ -233,8 +272,11 @@ def nearest_on_roads(places: DataFrame, index: SegmentIndex) -> DataFrame:
     grid = index.grid
     left = places.select("lat", "lon").filter("lat between -90 and 90 and lon between -180 and 180").distinct()
     left = written(left, "places")
-    first = _measured(_looked(left, grid, 0).join(index.pieces, ["row", "cell"]))
-    found = [written(_best(first.filter(F.col("near_m") <= grid.cell_m)), "on-roads")]
+    found = [written(_close(left, index), "on-roads")]
+    left = written(left.join(found[0], ["lat", "lon"], "left_anti"), "off-roads")
+    if not left.isEmpty():
+        first = _measured(_looked(left, grid, 0).join(index.pieces, ["row", "cell"]))
+        found.append(written(_best(first.filter(F.col("near_m") <= grid.cell_m)), "on-roads"))
     level, limit = 0, pi * EARTH_RADIUS_M if index.limit_m is None else index.limit_m
     while not index.pieces.isEmpty() and grid.width_m(level) < limit * (1 + 1e-6) and level < grid.top:
         left = written(left.join(found[-1], ["lat", "lon"], "left_anti"), "off-roads")
