@@ -1,13 +1,14 @@
 """Sources, sinks, streams and the daily run, on files in a fresh folder."""
 
 import json
+from pathlib import Path
 from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from velotrace import session
-from velotrace.checks import event_queries
+from velotrace.checks import event_queries, source_queries
 from velotrace.operators import manifest
 from velotrace.plans import daily
 from velotrace.schemas import EVENT_SCHEMA
@@ -225,3 +226,20 @@ def test_a_published_day_is_read_back_and_not_written_twice(spark, inbox, tmp_pa
     with pytest.raises(FileNotFoundError, match=str(DAY)):
         daily.read_trips(spark, out, date(2031, 1, 1))
     assert daily.pending_slices(spark, split, enriched).count() == 0
+
+
+def test_device_files_are_opened_once(spark):
+    found = source_queries.events_of_device_files(spark, SMALL)
+    # The result comes from a table of their rows, and not from the files again.
+    assert not [f for f in found.inputFiles() if "/of=" in f]
+
+
+def test_device_files_lie_in_few_folders(spark):
+    with session.scratch(spark):
+        source_queries.events_of_device_files(spark, SMALL)
+        newest = max(Path(session.shared_folder(spark)).glob("device-files-*"), key=lambda p: p.stat().st_mtime)
+        devices = spark.read.parquet(f"{SMALL}/events.parquet").select("user_id").distinct().count()
+        files = list(newest.rglob("*.parquet"))
+        assert len(files) == devices and len({f.parent for f in files}) == devices
+        assert len([p for p in newest.iterdir() if p.is_dir()]) <= source_queries.DEVICE_FOLDERS
+        assert {p.name.split("=")[0] for p in newest.iterdir() if p.is_dir()} == {"folder"}

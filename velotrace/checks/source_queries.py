@@ -110,13 +110,20 @@ def abnormal_events_of_raw_channels(spark, d):
     return events.abnormal_events(trips_with_accel(spark, d).withColumnsRenamed(raw))
 
 
+DEVICE_FOLDERS = 256
+
+
 @query("events_of_device_files", event_queries.SQL["events_by_file"])
 def events_of_device_files(spark, d):
     """Detection per stored file, of which there is one for each device."""
     path = new_path(spark, "device-files")
-    rows = trips_with_accel(spark, d).withColumn("of", F.col("device_id"))
-    rows.repartition("of").write.partitionBy("of").parquet(path)
-    stored = spark.read.parquet(path).drop("of").withColumn("source_file", F.col("_metadata.file_path"))
+    rows = trips_with_accel(spark, d)
+    # A folder of folders is written by one task, moved at once, and listed by one task.
+    folder = F.pmod(F.xxhash64("device_id"), F.lit(DEVICE_FOLDERS))
+    kept = rows.withColumns({"folder": folder, "of": F.col("device_id")})
+    kept.repartition("folder").write.partitionBy("folder", "of").parquet(path)
+    reader = spark.read.schema(rows.schema).option("recursiveFileLookup", True)
+    stored = reader.parquet(path).withColumn("source_file", F.col("_metadata.file_path"))
     device = F.regexp_extract("source_file", "/of=([^/]*)/", 1)
     found = events.events_by_file(stored)
     return found.select(F.concat(F.lit("device-"), device).alias("source_file"), "events_detected")

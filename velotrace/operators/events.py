@@ -300,8 +300,10 @@ def event_rollup(events: DataFrame, levels: Sequence[str] = ("region", "event_ty
 def events_by_file(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Detection per source file in one job: event counts of every file, zero included.
 
-    ``df`` carries the file in ``source_file``.
+    ``df`` carries the file in ``source_file``. Its rows are written once, since opening many
+    small files costs more than their rows.
     """
+    df = written(df, "file-rows")
     events = abnormal_events(df, settings, by=["source_file"])
     found = events.groupBy("source_file").agg(F.count("*").alias("events_detected"))
     files = df.select("source_file").distinct()
