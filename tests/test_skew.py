@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from velotrace.checks import event_queries
+from velotrace.checks import event_queries, road_queries
 from velotrace.checks.views import telemetry
 from velotrace.operators import clean, events, joins, ordered, reports, roads, trips
 from velotrace.operators.quantiles import quantiles
@@ -219,3 +219,16 @@ def test_no_broadcast_above_the_limit(spark):
             assert ("Broadcast" in plan._jdf.queryExecution().executedPlan().toString()) == found
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def from_source(df):
+    """Whether a result still reads the events, and not only tables written on the way."""
+    return [f for f in df.inputFiles() if f.endswith("/events.parquet")]
+
+
+def test_enriched_routes_read_the_events_no_more(spark):
+    assert not from_source(road_queries.enriched_routes(spark, SMALL))
+
+
+def test_routes_are_built_once(spark):
+    assert not from_source(road_queries.gap_routes_table(spark, SMALL))

@@ -115,7 +115,9 @@ def build_routes(vertices: DataFrame, settings: Settings = Settings(), ellipsoid
     ``vertices(from_key, to_key, seq, lat, lon)``; distances are great-circle, which differs
     from the ellipsoid by less than 0.6 percent, or with ``ellipsoid`` those of the ellipsoid.
     Legs are summed as whole nanometres, so a length does not depend on how a route is split.
+    Vertices and routes are written once, since both are read several times.
     """
+    vertices = written(vertices, "route-vertices")
     series = scan(
         ordered(vertices, ROUTE, ["seq"], settings),
         _prev=previous(F.struct("lat", "lon")),
@@ -125,12 +127,13 @@ def build_routes(vertices: DataFrame, settings: Settings = Settings(), ellipsoid
     leg = measure(F.col("_prev.lat"), F.col("_prev.lon"), F.col("lat"), F.col("lon"))
     leg_nm = F.coalesce(F.round(leg * 1e9).cast("long"), F.lit(0).cast("long"))
     series = series.map(lambda d: d.withColumn("_leg", leg_nm))
-    return (
+    routes = (
         scan(series, _nm=running_sum(F.col("_leg")))
         .done()
         .withColumns({"seq": (F.col("_nth") - 1).cast("int"), "cum_m": F.col("_nm") / 1e9})
         .select(*ROUTE, "seq", "lat", "lon", "cum_m")
     )
+    return written(routes, "routes")
 
 
 def route_summary(routes: DataFrame) -> DataFrame:
@@ -296,7 +299,8 @@ def interpolate_gaps(
     if routes is None:
         return interpolate_lines(series, settings, roads).done().select(*df.columns)
 
-    rows = gap_progress(gap_bounds(series)).done()
+    # The rows in gaps and the others part here, and joins count before they join.
+    rows = written(gap_progress(gap_bounds(series)).done(), "gap-progress")
     gap = in_gap()
     asked = lookup(
         _with_keys(rows.filter(gap)), written(route_summary(routes), "route-sizes"), ROUTE, settings
@@ -402,15 +406,18 @@ def fill_missing(
     if routes is None:
         return fill_lines(series, settings).done().select(*df.columns)
 
-    rows = gap_bounds(series).done()
+    rows = written(gap_bounds(series).done(), "gap-bounds")
     k, missing = _run()
     gap = in_gap()
     asked = lookup(
         _with_keys(rows.filter(gap)), written(route_summary(routes), "route-sizes"), ROUTE, settings
     )
-    asked = asked.withColumn(
-        "vertex_seq",
-        F.when(F.col("vertices") >= 2, spread_index(k, missing, F.col("vertices"))),
+    asked = written(
+        asked.withColumn(
+            "vertex_seq",
+            F.when(F.col("vertices") >= 2, spread_index(k, missing, F.col("vertices"))),
+        ),
+        "missing-rows",
     )
     table = routes.select(
         *ROUTE,

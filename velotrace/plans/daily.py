@@ -49,7 +49,7 @@ def enrich(
         series = roads.fill_lines(series, settings)
         return trips.measure(series, settings, road_distances=road_distances).drop("_at")
 
-    rows = clean.add_time_diff(rows, settings, within, sizes)
+    rows = written(clean.add_time_diff(rows, settings, within, sizes), "timed-rows")
     # Both passes join the rows to routes; without a cut the second would repeat the first.
     rows = written(
         roads.interpolate_gaps(rows, settings, routes, index, within, sizes), "filled-rows"
