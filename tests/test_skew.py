@@ -232,3 +232,30 @@ def test_enriched_routes_read_the_events_no_more(spark):
 
 def test_routes_are_built_once(spark):
     assert not from_source(road_queries.gap_routes_table(spark, SMALL))
+
+
+def test_statistics_read_the_events_no_more(spark):
+    rows = events.active_rows(event_queries.trips_with_accel(spark, SMALL))
+    for limit in (100, 1_000_000):
+        assert not from_source(events.axis_statistics(rows, Settings(group_rows=limit)))
+
+
+
+def test_quantiles_of_several_columns_with_nulls_and_ties(spark):
+    df = spark.range(6000).selectExpr(
+        "id % 3 AS g",
+        "CASE WHEN id % 3 <> 0 AND id % 4 <> 1 THEN pow(id * 7919 % 6007, 3) END AS x",
+        "CASE WHEN id % 3 <> 0 THEN CAST(id % 5 AS DOUBLE) END AS y",
+        "CAST(3 AS INT) AS z",
+    )
+    probs = {"low": 0.0, "q": 0.123, "mid": 0.5, "top": 1.0}
+    extra = [F.count("*").alias("n"), F.max("x").alias("most")]
+    for by in ([], ["g"]):
+        plain, split = (
+            {r[0] if by else None: r for r in quantiles(df, ["x", "y", "z"], probs, by, Settings(group_rows=n), extra).collect()}
+            for n in (1_000_000, 7)
+        )
+        assert plain.keys() == split.keys()
+        for k, row in plain.items():
+            found = split[k].asDict()
+            assert found == {c: v if v is None else pytest.approx(v, rel=1e-12) for c, v in row.asDict().items()}

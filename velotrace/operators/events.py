@@ -79,7 +79,7 @@ def axis_statistics(
         return approximate_quantiles(df, peaks, probs, by, accuracy, extra)
 
     peaks = [f"peak_{a}" for a in AXES]
-    values = active.select(*by, *peaks)
+    values = written(active.select(*by, *peaks), "peak-values")
     sizes = [F.count("*").alias("n")] + [
         x for p in peaks for x in (F.max(p).alias(f"{p}_max"), F.count(p).alias(f"{p}_known"))
     ]

@@ -3,15 +3,16 @@
 Groups of at most ``group_rows`` rows use Spark's exact ``percentile``, which holds the distinct
 values of a group in one task. Larger groups are narrowed instead: a sketch proposes two values
 around the wanted rank, one counting pass says exactly on which side of them the rank lies, and
-the search goes on between them. Both passes aggregate before the shuffle; the sketch only steers,
-so the result is exact whatever its error.
+the search goes on between them until what is left fits a task. The passes aggregate before the
+shuffle; the sketch only steers, so the result is exact whatever its error. Rows are read several
+times, so costly ones should be written first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from velotrace.operators.joins import joined, restrict, small_side
@@ -38,7 +39,7 @@ def quantiles(
     if not by:
         if df.count() <= settings.group_rows:
             return _small(df, columns, probs, by, extra)
-        return _large(df, columns, probs, by, extra)
+        return _large(df, columns, probs, by, extra, settings)
 
     sizes = df.groupBy(*by).count().filter(F.col("count") > settings.group_rows)
     if sizes.isEmpty():
@@ -46,7 +47,7 @@ def quantiles(
     large = small_side(written(sizes.select(*by), "large-groups"), settings)
     return _small(
         restrict(df, large, by, "left_anti"), columns, probs, by, extra
-    ).unionByName(_large(restrict(df, large, by, "left_semi"), columns, probs, by, extra))
+    ).unionByName(_large(restrict(df, large, by, "left_semi"), columns, probs, by, extra, settings))
 
 
 def approximate_quantiles(
@@ -79,122 +80,159 @@ def _small(df, columns, probs, by, extra) -> DataFrame:
     )
 
 
-def _large(df, columns, probs, by, extra) -> DataFrame:
-    found = _narrowed(df, columns, probs, by)
-    wide = found.groupBy(*by).agg(
-        *[
-            F.max(
-                F.when((F.col("_column") == c) & (F.col("_label") == label), F.col("_result"))
-            ).alias(f"{c}_{label}")
-            for c in columns
-            for label in probs
-        ]
-    )
-    if not extra:
-        return wide
-    if by:
-        return joined(df.groupBy(*by).agg(*extra), wide, by, "left")
-    row = wide.first()
-    return df.agg(*extra).select(
-        *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in wide.schema.fields], "*"
+def _large(df, columns, probs, by, extra, settings=Settings()) -> DataFrame:
+    """``quantiles`` of groups of any size, in four passes over the rows and a search in few of them.
+
+    The passes hold one row per input row; only values near a wanted rank get rows of their own.
+    """
+    value = {c: f"_v{i}" for i, c in enumerate(columns)}
+    targets = [(c, n, f"_{i}_{j}") for i, c in enumerate(columns) for j, n in enumerate(probs)]
+    rows = df.withColumns({v: F.col(c).cast("double") for c, v in value.items()})
+    ranks = [k / CUTS for k in range(CUTS + 1)]
+    counted = rows.groupBy(*by).agg(
+        *[F.count(v).alias(f"_n{v}") for v in value.values()],
+        *[F.percentile_approx(v, ranks, ACCURACY).alias(f"_cuts{v}") for v in value.values()],
+        *extra,
     )
+    counted = written(counted, "quantile-cuts")
+    more = [c for c in counted.columns[len(by) + 2 * len(value):]]
+    rows = rows.select(*by, *value.values())
+
+    def rank(c, n):
+        """The wanted rank, from 0, and the whole rank at or below it."""
+        at = F.lit(float(probs[n])) * (F.col(f"_n{value[c]}") - 1)
+        return at, F.floor(at)
 
+    def cut(c, n, step):
+        spot = rank(c, n)[1] / F.greatest(F.col(f"_n{value[c]}") - 1, F.lit(1)) * CUTS
+        place = F.ceil(spot).cast("int") + 1 if step > 0 else F.floor(spot).cast("int") - 1
+        return F.get(f"_cuts{value[c]}", F.least(F.greatest(place, F.lit(0)), F.lit(CUTS)))
 
-def _narrowed(df, columns, probs, by) -> DataFrame:
-    """One row per group, column and label, with the quantile as ``_result``."""
-    values = df.select(
+    bounds = counted.select(
+        *by, *[x for c, n, t in targets for x in (cut(c, n, -1).alias(f"_a{t}"), cut(c, n, 1).alias(f"_b{t}"))]
+    )
+    sides = _met(rows, bounds, by).groupBy(*by).agg(
+        *[x for c, n, t in targets for x in _sides(F.col(value[c]), F.col(f"_a{t}"), F.col(f"_b{t}"), t)]
+    )
+    sides = written(_met(_met(counted.drop(*more), bounds, by), sides, by), "quantile-counts")
+    parts = ["_a", "_b", "_below", "_at_a", "_between", "_at_b"]
+    state = sides.select(
         *by,
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).alias("_v")) for c in columns])
-        ).alias("_x"),
-    ).select(*by, "_x.*")
-    values = values.filter(F.col("_v").isNotNull())
-    group, target = by + ["_column"], by + ["_column", "_label"]
-
-    wanted = F.array(
-        *[F.struct(F.lit(n).alias("_label"), F.lit(float(p)).alias("_p")) for n, p in probs.items()]
+        F.inline(F.array(*[
+            F.struct(
+                F.lit(t).alias("_target"), F.col(f"_n{value[c]}").alias("_n"),
+                rank(c, n)[0].alias("_at"), rank(c, n)[1].alias("_rank"),
+                *[F.col(f"{p}{t}").alias(p) for p in parts],
+            )
+            for c, n, t in targets
+        ])),
+    ).filter("_n > 0")
+    state = state.withColumns(
+        {"_before": F.lit(0).cast("long")} | {c: F.lit(None).cast("double") for c in ("_low", "_high", "_found")}
     )
-    state = (
-        values.groupBy(*group)
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_w", F.explode(wanted))
-        .select(
-            *group,
-            F.col("_w._label").alias("_label"),
-            (F.col("_w._p") * (F.col("_n") - 1)).alias("_at"),
-            F.floor(F.col("_w._p") * (F.col("_n") - 1)).alias("_rank"),
-            F.lit(0).cast("long").alias("_before"),
-            F.lit(None).cast("double").alias("_low"),
-            F.lit(None).cast("double").alias("_high"),
-            F.lit(None).cast("double").alias("_found"),
+    key = [*by, "_target"]
+    state = _kept(_step(state, [*key, "_at", "_rank", "_before", "_low", "_high", "_found"]))
+
+    def wide(*names):
+        """The searches of a group in one row; a target without values has no ``_at``."""
+        return state.groupBy(*by).agg(
+            *[F.max(F.when(F.col("_target") == t, F.col(x))).alias(f"{x}{t}") for _, _, t in targets for x in names]
         )
+
+    if not state.filter(F.col("_found").isNull()).isEmpty():
+        # About a hundredth of the rows can still matter; each is kept under its target.
+        near = [
+            F.when(
+                F.col(f"_at{t}").isNotNull() & F.col(f"_found{t}").isNull() & _is_inside(F.col(value[c]), t),
+                F.struct(F.lit(t).alias("_target"), F.col(value[c]).alias("_v")),
+            )
+            for c, _, t in targets
+        ]
+        met = _met(rows, wide("_at", "_found", "_low", "_high"), by)
+        rest = met.filter(F.coalesce(*near).isNotNull()).select(*by, F.inline(F.array(*near)))
+        rest = rest.filter(F.col("_target").isNotNull())
+        state = _searched(written(rest, "quantile-rest"), state, key, settings)
+
+    sought = wide("_at", "_rank", "_found")
+    after = _met(rows, sought, by).groupBy(*by).agg(
+        *[
+            x
+            for c, _, t in targets
+            for x in (
+                F.count_if(F.col(value[c]) <= F.col(f"_found{t}")).alias(f"_upto{t}"),
+                F.min(F.when(F.col(value[c]) > F.col(f"_found{t}"), F.col(value[c]))).alias(f"_next{t}"),
+            )
+        ]
     )
-    state = _kept(state)
-    # Every table of the search has at most as many rows as this one; those of cuts are long.
-    targets = state.count()
-    small = F.broadcast if targets <= Settings().broadcast_rows else lambda table: table
-    few_cuts = F.broadcast if targets * CUTS <= Settings().broadcast_rows else lambda table: table
-    v, low, high = F.col("_v"), F.col("_low"), F.col("_high")
-    is_open = F.col("_found").isNull()
-    rest, keys = values, group
-    while not state.filter(is_open).isEmpty():
-        inside = (
-            joined(rest, small(state.filter(is_open)), keys, "inner")
-            .filter((low.isNull() | (v > low)) & (high.isNull() | (v < high)))
+    results = []
+    for c, n, t in targets:
+        at, below, found = F.col(f"_at{t}"), F.col(f"_rank{t}"), F.col(f"_found{t}")
+        upper = F.when(below + 1 < F.col(f"_upto{t}"), found).otherwise(F.col(f"_next{t}"))
+        weight = at - below
+        results.append(
+            F.when(weight == 0, found).otherwise((below + 1 - at) * found + weight * upper).alias(f"{c}_{n}")
         )
-        cuts = inside.groupBy(*target).agg(
+    # A group without any value has no search, but its extras.
+    both = _met(_met(counted.select(*by, *more), sought, by, "left"), after, by, "left")
+    return written(both.select(*by, *results, *more), "quantiles")
+
+
+def _met(rows: DataFrame, table: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Rows with the columns of their group. Large groups are far fewer than rows."""
+    if not by:
+        return rows.crossJoin(F.broadcast(table))
+    return joined(rows, small_side(table, Settings()), by, how)
+
+
+def _sides(v: Column, a: Column, b: Column, suffix: str = "") -> list[Column]:
+    """Values on each side of two cuts, and on them."""
+    return [
+        F.count_if(v < a).alias(f"_below{suffix}"),
+        F.count_if(v == a).alias(f"_at_a{suffix}"),
+        F.count_if((v > a) & (v < b)).alias(f"_between{suffix}"),
+        F.count_if((v == b) & (a < b)).alias(f"_at_b{suffix}"),
+    ]
+
+
+def _is_inside(v: Column, suffix: str = "") -> Column:
+    low, high = F.col(f"_low{suffix}"), F.col(f"_high{suffix}")
+    return v.isNotNull() & (low.isNull() | (v > low)) & (high.isNull() | (v < high))
+
+
+def _searched(rest: DataFrame, state: DataFrame, key: Sequence[str], settings: Settings) -> DataFrame:
+    """The searches with their values, which ``rest`` holds under each target that is open.
+
+    Rows are narrowed until those of each target fit a task, which then counts off the rank.
+    """
+    small = small_side(state, settings)
+    v, is_open = F.col("_v"), F.col("_found").isNull()
+    while not state.filter(is_open).isEmpty():
+        inside = joined(rest, small.filter(is_open), key, "inner").filter(_is_inside(v))
+        sizes = inside.groupBy(*key).agg(F.count("*").alias("_in"))
+        if sizes.filter(F.col("_in") > settings.group_rows).isEmpty():
+            place = F.row_number().over(Window.partitionBy(*key).orderBy("_v")) - 1
+            last = inside.withColumn("_place", place).filter(F.col("_place") == F.col("_rank") - F.col("_before"))
+            hits = last.select(*key, F.col("_v").alias("_hit"))
+            both = joined(state, hits, key, "left")
+            return _kept(both.withColumn("_found", F.coalesce("_found", "_hit")).drop("_hit"))
+        cuts = inside.groupBy(*key).agg(
             F.count("*").alias("_in"),
             F.percentile_approx(v, [i / CUTS for i in range(CUTS + 1)], ACCURACY).alias("_cuts"),
         )
         spot = (F.col("_rank") - F.col("_before")) / F.greatest(F.col("_in") - 1, F.lit(1)) * CUTS
         bounds = _kept(
-            joined(state.filter(is_open), few_cuts(cuts), target, "inner").select(
-                *target,
+            joined(state.filter(is_open), cuts, key, "inner").select(
+                *key,
                 F.get("_cuts", F.greatest(F.floor(spot).cast("int") - 1, F.lit(0))).alias("_a"),
                 F.get("_cuts", F.least(F.ceil(spot).cast("int") + 1, F.lit(CUTS))).alias("_b"),
             )
         )
-        a, b = F.col("_a"), F.col("_b")
-        counts = (
-            joined(inside, small(bounds), target, "inner")
-            .groupBy(*target)
-            .agg(
-                F.first("_a").alias("_a"),
-                F.first("_b").alias("_b"),
-                F.count_if(v < a).alias("_below"),
-                F.count_if(v == a).alias("_at_a"),
-                F.count_if((v > a) & (v < b)).alias("_between"),
-                F.count_if((v == b) & (a < b)).alias("_at_b"),
-            )
+        counts = joined(inside, small_side(bounds, settings), key, "inner").groupBy(*key).agg(
+            F.first("_a").alias("_a"), F.first("_b").alias("_b"), *_sides(v, F.col("_a"), F.col("_b"))
         )
-        state = _kept(_step(joined(state, small(counts), target, "left"), state.columns))
-        if keys == group:
-            # About a hundredth of the rows can still matter; each is kept under its target.
-            rest = written(
-                joined(values, small(state.filter(is_open)), group, "inner")
-                .filter((low.isNull() | (v > low)) & (high.isNull() | (v < high)))
-                .select(*target, "_v"),
-                "quantile-rest",
-            )
-            keys = target
-
-    value = F.col("_found")
-    after = (
-        joined(values, small(state), group, "inner")
-        .groupBy(*target)
-        .agg(
-            F.count_if(v <= value).alias("_upto"),
-            F.min(F.when(v > value, v)).alias("_next"),
-        )
-    )
-    upper = F.when(F.col("_rank") + 1 < F.col("_upto"), value).otherwise(F.col("_next"))
-    weight = F.col("_at") - F.col("_rank")
-    return joined(state, small(after), target, "inner").withColumn(
-        "_result",
-        F.when(weight == 0, value).otherwise(
-            (F.col("_rank") + 1 - F.col("_at")) * value + weight * upper
-        ),
-    )
+        state = _kept(_step(joined(state, counts, key, "left"), state.columns))
+        small = small_side(state, settings)
+    return state
 
 
 def _kept(state: DataFrame) -> DataFrame:
