@@ -240,6 +240,9 @@ def test_statistics_read_the_events_no_more(spark):
         assert not from_source(events.axis_statistics(rows, Settings(group_rows=limit)))
 
 
+def test_cross_validation_reads_the_events_no_more(spark):
+    assert not from_source(event_queries.cross_validation(spark, SMALL))
+
 
 def test_quantiles_of_several_columns_with_nulls_and_ties(spark):
     df = spark.range(6000).selectExpr(

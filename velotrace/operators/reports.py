@@ -234,6 +234,9 @@ def cross_validate(
     parameters, and rows that no parameter can accept are dropped before they are repeated.
     """
     by = ["fold"]
+    # Both are read several times.
+    active = written(active.select(*by, "timestamp", *PEAKS), "active-rows")
+    truths = written(truths.select(*by, "event_type", "time", "severity"), "truths")
     values = active.select(*by, *PEAKS)
     levels = sorted({q for q, _, _ in grid})
     probs = {f"q{i}": q / 100 for i, q in enumerate(levels)} | {"median": 0.5}
