@@ -97,3 +97,12 @@ def test_a_table_without_prefixes(frame):
     names = frame("id long, device_name string", *NAMES)
     assert {r.region for r in regions.region_by_table(names, frame(PREFIX)).collect()} == {None}
     assert regions.region_by_table(frame("id long, device_name string"), frame(PREFIX)).count() == 0
+
+
+def test_deviation_finds_its_middle_once_per_row(spark):
+    stored = sketches.slice_sketches(spark.range(50).withColumn("v", F.col("id").cast("double")), [], (), ["v"])
+    answer = sketches.united(stored).select(sketches.deviation("v", sketches.quantile("v", 0.5)).alias("d"))
+    assert 11.0 <= answer.first().d <= 14.0
+    plan = answer._jdf.queryExecution().optimizedPlan().toString()
+    inside = [part.split(", lambda ")[0] for part in plan.split("lambdafunction(")[1:]]
+    assert inside and not [x for x in inside if "kll" in x]

@@ -76,7 +76,10 @@ def deviation(column: str, middle: Column) -> Column:
     stand for the values. Its rank is within twice the stated error, plus half a step."""
     sketch = F.col(f"`{values_name(column)}`")
     asked = F.array(*[F.lit((i + 0.5) / STEPS) for i in range(STEPS)])
-    away = F.array_sort(F.transform(F.kll_sketch_get_quantile_double(sketch, asked), lambda x: F.abs(x - middle)))
+    # An expression inside a lambda is computed for each element, so the middle is repeated outside.
+    middles = F.array_repeat(middle, STEPS)
+    steps = F.kll_sketch_get_quantile_double(sketch, asked)
+    away = F.array_sort(F.zip_with(steps, middles, lambda x, m: F.abs(x - m)))
     return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.get(away, F.lit(STEPS // 2)))
 
 
