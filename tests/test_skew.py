@@ -1,11 +1,13 @@
 """Large groups take another way through the operators; the results must not differ."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from velotrace import session
 from velotrace.checks import event_queries, road_queries
 from velotrace.checks.views import telemetry
 from velotrace.operators import clean, events, joins, ordered, reports, roads, trips
@@ -262,3 +264,14 @@ def test_quantiles_of_several_columns_with_nulls_and_ties(spark):
         for k, row in plain.items():
             found = split[k].asDict()
             assert found == {c: v if v is None else pytest.approx(v, rel=1e-12) for c, v in row.asDict().items()}
+
+
+def test_detection_searches_few_rounds(spark):
+    rows = event_queries.trips_with_accel(spark, SMALL)
+    with session.scratch(spark):
+        folder = Path(session.shared_folder(spark))
+        before = len(list(folder.glob("quantile-state-*")))
+        found = events.abnormal_events(rows, Settings(group_rows=50))
+        # Two searches, of a first round and one that counts off the rank.
+        assert len(list(folder.glob("quantile-state-*"))) - before <= 4
+        same(events.events_by_type(found), event_queries.events_by_type(spark, SMALL))
