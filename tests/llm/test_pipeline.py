@@ -1,6 +1,7 @@
 """The registered queries against their SQL, and the pipeline stage by stage."""
 
 import random
+from pathlib import Path
 
 import pytest
 
@@ -12,7 +13,8 @@ from tests.llm.test_decontaminate import plain_leaks
 from tests.llm.test_jaccard import by_all_pairs
 from tests.llm.test_repeats import by_all_strings
 from tools.compare import compare
-from velotrace.llm import registry
+from velotrace import session
+from velotrace.llm import jaccard, registry, repeats
 
 
 def test_every_operator_is_registered():
@@ -76,3 +78,39 @@ def test_no_documents(frame, spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_stages_leave_only_the_tables_that_their_result_reads(frame, spark):
+    rng = random.Random(13)
+    passage = " ".join(words(rng, 70, 5000))
+    rows = [(i, " ".join(words(rng, 60, 5000)) + passage * (i % 3 == 0)) for i in range(30)]
+    rows += [(100 + i, rows[i][1]) for i in range(10)]
+    rows_by_name = [*rows, (0, "another text under the same id")]
+    folder = Path(session.shared_folder(spark).removeprefix("file:"))
+    for make, given, left, wanted in (
+        (jaccard.one_of_each, rows, {"found"}, 30),
+        (jaccard.one_of_each, rows_by_name, {"found", "kept"}, 31),
+        (repeats.cleaned, rows, {"changed-texts", "hot-join-keys"}, 40),
+        (repeats.removal_counts, rows, {"changed", "hot-join-keys"}, 40),
+    ):
+        with session.scratch(spark):
+            before = set(folder.iterdir())
+            got = make(documents(frame, given, extra=True))
+            new = {p.name[:-33] for p in set(folder.iterdir()) - before}
+            assert new <= left and len(got.collect()) == wanted
+        assert set(folder.iterdir()) == before
+
+
+def test_written_tables_leave_no_shuffle_files(frame, spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for d in manager.localDirsString() for f in Path(d).rglob("shuffle_*")}
+
+    rows = documents(frame, [(i, str(i % 7)) for i in range(100)])
+    before = shuffled()
+    named = spark.conf.get(session._CLEANUP, None)
+    with session.scratch(spark):
+        got = session.written(rows.groupBy("text").count().repartition(3, "count"), "counts")
+        assert not shuffled() - before and sorted(r["count"] for r in got.collect()) == [14] * 5 + [15] * 2
+    assert spark.conf.get(session._CLEANUP, None) == named

@@ -45,7 +45,7 @@ from velotrace.llm.common import unused
 from velotrace.llm.components import components
 from velotrace.operators.joins import fits, lookup
 from velotrace.operators.ordered import ordered, row_count, scan
-from velotrace.session import written
+from velotrace.session import written, written_alone
 from velotrace.settings import Settings
 
 WIDTH, PERCENT = 4, 85
@@ -716,14 +716,20 @@ def one_of_each(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT
     known = documents.filter("doc_id is not null")
     nameless = documents.filter("doc_id is null")
     if known.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        found = jaccard_components(documents, width, percent)
-        kept = written(found.filter("component_id = doc_id").select("doc_id"), "found")
+        # Sketches and entries are larger than what is left of them, and the texts are shuffled next.
+        kept = written_alone(
+            lambda: jaccard_components(documents, width, percent).filter("component_id = doc_id").select("doc_id"),
+            "found",
+        )
         return documents.join(kept, "doc_id", "left_semi").unionByName(nameless)
 
     # A text under an id is a document with a number of its own.
     own, name = F.xxhash64("doc_id", "text"), unused(documents, "own")
     numbered = known.select(own.alias("doc_id"), F.col("doc_id").alias("named"), "text")
-    found = written(jaccard_components(numbered.select("doc_id", "text"), width, percent).select("doc_id", "component_id"), "found")
+    found = written_alone(
+        lambda: jaccard_components(numbered.select("doc_id", "text"), width, percent).select("doc_id", "component_id"),
+        "found",
+    )
     ids = numbered.select("doc_id", "named").distinct()
     first = F.min(F.struct("named", "doc_id"))["doc_id"].alias(name)
     kept = written(found.distinct().join(ids, "doc_id").groupBy("component_id").agg(first).select(name), "kept")

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from velotrace.llm import suffixes
 from velotrace.llm.common import unused
 from velotrace.operators.joins import lookup
-from velotrace.session import written
+from velotrace.session import written, written_alone
 from velotrace.settings import Settings
 
 LENGTH, GRAM = 200, 32
@@ -397,8 +397,9 @@ def without_repeats(documents: DataFrame, anchor_bytes: int = ANCHOR_BYTES) -> D
 
 def removal_counts(documents: DataFrame, anchor_bytes: int = ANCHOR_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), one row per document."""
-    changed = without_repeats(documents, anchor_bytes).drop("kept")
-    changed = written(changed.dropDuplicates(["text_id", "size"]), "changed")
+    changed = written_alone(
+        lambda: without_repeats(documents, anchor_bytes).drop("kept").dropDuplicates(["text_id", "size"]), "changed"
+    )
     text = F.coalesce("text", F.lit(""))
     rows = documents.select(
         "doc_id",
@@ -418,8 +419,10 @@ def removal_counts(documents: DataFrame, anchor_bytes: int = ANCHOR_BYTES) -> Da
 
 def cleaned(documents: DataFrame, anchor_bytes: int = ANCHOR_BYTES) -> DataFrame:
     """The documents with the bytes that are left as their text, and n_chars, if there, to match."""
-    changed = without_repeats(documents, anchor_bytes).select("text_id", "size", "kept")
-    changed = written(changed.dropDuplicates(["text_id", "size"]), "changed-texts")
+    names = ["text_id", "size"]
+    changed = written_alone(
+        lambda: without_repeats(documents, anchor_bytes).select(*names, "kept").dropDuplicates(names), "changed-texts"
+    )
     text = F.coalesce("text", F.lit(""))
     text_id, size, kept = (unused(documents, name) for name in ("text_id", "size", "kept"))
     keys = {text_id: F.xxhash64(text), size: F.octet_length(text).cast("long")}

@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark deletes the shuffle files of a query when it ends, and not when the driver next collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _roots: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
 
@@ -51,13 +54,39 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows of ``df``, read back from a compressed Parquet table in the shared folder."""
+    """The rows of ``df``, read back from a compressed Parquet table in the shared folder.
+
+    Later steps read the table, so the shuffle files that led to it go as soon as it is there.
+    """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_alone(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """``written(make(), label)``, after which the tables that ``make`` wrote are deleted.
+
+    Nothing else may read those: ``make`` must not hand them out but in its result.
+    """
+    before = {app: len(paths) for app, paths in _written.items()}
+    df = written(make(), label)
+    spark = df.sparkSession
+    paths = _written[spark.sparkContext.applicationId]
+    first = before.get(spark.sparkContext.applicationId, 0)
+    _delete(spark, paths[first:-1])
+    del paths[first:-1]
+    return df
+
+
 def _delete(spark: SparkSession, paths: list[str]) -> None:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
