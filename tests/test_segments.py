@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from velotrace import session
 from velotrace.functions.geo import geodesic, haversine
 from velotrace.operators import roads, segments
 from velotrace.settings import Settings
@@ -78,6 +79,56 @@ def test_long_crossing_segments_are_not_cut_without_end(frame):
         assert near_m == pytest.approx(brute(*place, rows), rel=1e-9, abs=1e-6)
 
 
+def test_pieces_are_neither_stored_nor_shuffled(frame, monkeypatch):
+    rng, sizes, plans = random.Random(6), [], []
+    spot = lambda: (51 + rng.random() * 0.02, -180.01 + rng.random() * 0.03)
+    lines = frame(VERTICES, *[(r, s, *spot()) for r in range(300) for s in (0, 1)])
+
+    def watched(df, label, conf=None):
+        extra = {} if conf is None else {"conf": conf}
+        for name, value in (conf or {}).items():
+            df.sparkSession.conf.set(name, value)
+        if label == "pieces-met":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        for name in conf or {}:
+            df.sparkSession.conf.unset(name)
+        table = session.written(df, label, **extra)
+        sizes.append(table.count())
+        return table
+
+    monkeypatch.setattr(segments, "written", watched)
+    monkeypatch.setattr(segments, "MANY", 300)
+    index = segments.segment_index(lines, cell_m=5.0)
+    cut = index.pieces.count()
+    assert cut > 200 * 300
+    sizes.clear()
+    places = [spot() for _ in range(30)]
+    rows = [r[2:] for r in segments.road_segments(lines).collect()]
+    got = {(r.lat, r.lon): r.near_m for r in segments.nearest_on_roads(frame(PLACES, *[(a, turn(b)) for a, b in places]), index).collect()}
+    assert len(got) == 30 and max(sizes) < cut / 20
+    for place, near_m in got.items():
+        assert near_m == pytest.approx(brute(*place, rows), rel=1e-9, abs=1e-6)
+    by_cell = [line for p in plans for line in p.splitlines() if "Exchange hashpartitioning" in line and " cell#" in line]
+    assert plans and not by_cell
+
+
+def test_crowded_tiles_are_parted(frame, monkeypatch):
+    rng = random.Random(7)
+    monkeypatch.setattr(segments, "ENOUGH", 2)
+    monkeypatch.setattr(segments, "MANY", 300)
+    spot = lambda: (-33 + rng.random() * 0.004, 179.998 + rng.random() * 0.004)
+    lines = frame(VERTICES, *[(r, s, a, turn(b)) for r in range(150) for s in range(3) for a, b in [spot()]])
+    index = segments.segment_index(lines, Settings(group_rows=400), cell_m=20.0)
+    # Some are near roads, and two a few cells away.
+    places = [spot() for _ in range(60)] + [(-33.006, -179.999), (-32.999, 179.99)]
+    places = [(a, turn(b)) for a, b in places]
+    rows = [r[2:] for r in segments.road_segments(lines).collect()]
+    got = {(r.lat, r.lon): r.near_m for r in segments.nearest_on_roads(frame(PLACES, *places), index).collect()}
+    assert len(got) == len(places)
+    for place, near_m in got.items():
+        assert near_m == pytest.approx(brute(*place, rows), rel=1e-9, abs=1e-6)
+
+
 def test_a_limit_and_no_roads(frame):
     lines = frame(VERTICES, (1, 0, 51.0, 0.0), (1, 1, 51.0, 0.1))
     near = Settings(snap_radius_m=150.0)

@@ -53,22 +53,32 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def _held(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold inside."""
+    before = {name: spark.conf.get(name, None) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def written(df: DataFrame, label: str, conf: dict[str, str] | None = None) -> DataFrame:
     """The rows of ``df``, read back from a compressed Parquet table in the shared folder.
 
     Later steps read the table, so the shuffle files that led to it go as soon as it is there.
+    Settings in ``conf`` hold while it is written.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with _held(spark, {_CLEANUP: "true"} | (conf or {})):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
